@@ -1,0 +1,41 @@
+"""Joins of the log with side tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+SALTS = 16
+
+
+def is_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Counts at most ``max_rows + 1`` rows of the side."""
+    return side.limit(max_rows + 1).count() <= max_rows
+
+
+def salted_join(log: DataFrame, side: DataFrame, on: list[str], spread_by: list[str], how: str,
+                salts: int = SALTS) -> DataFrame:
+    """Shuffle join for a side with one row per key, safe when one key holds much of the log.
+
+    Rows of a key are spread over ``salts`` tasks by their own columns; the side is
+    repeated once per salt. Nothing is dropped and the result equals the plain join.
+    """
+    salted = log.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def attach(log: DataFrame, side: DataFrame, on: list[str], spread_by: list[str], how: str = "left",
+           max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a lookup with one row per key: broadcast after its size was counted, salted beyond it."""
+    if is_small(side, max_rows):
+        return log.join(F.broadcast(side), on, how)
+    return salted_join(log, side, on, spread_by, how)
+
+
+def equal_all(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & left[key].eqNullSafe(right[key])
+    return condition
