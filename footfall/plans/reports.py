@@ -17,7 +17,7 @@ from footfall.plans.specs import ALL_RATIOS, JOBS, REPORTS, TERMINAL, TERMINAL_D
 
 @dataclass(frozen=True)
 class Lookups:
-    """Side tables; a report reads those it needs."""
+    """Side tables, one row per key (see ``sources.lookups``); a report reads those it needs."""
 
     scenes: DataFrame | None = None
     qr_codes: DataFrame | None = None

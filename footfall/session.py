@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
         .config("spark.sql.session.timeZone", REPORT_TIME_ZONE)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

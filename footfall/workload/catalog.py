@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from footfall.workload.oracle import report_oracles
-from footfall.workload.queries import QUERIES
-
-ORACLES: dict[str, str] = {**report_oracles()}
+from footfall.workload import advertising, queries, sharing  # noqa: F401  (registers)
+from footfall.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

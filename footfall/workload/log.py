@@ -23,7 +23,7 @@ DUCKDB = {
     "D": "strftime(ts, '%Y%m%d')",
     "H": "strftime(ts, '%H')",
     "K": "cast(props->>'$.k' as int)",
-    "ET": "epoch_ms(ts)",
+    "ET": "epoch_us(ts) // 1000",
 }
 
 KEYED = "select event_id, ts, user_id, event_type, value, {D} as day, {H} as hour, {ET} as et, {K} as k from events"

@@ -1,38 +1,23 @@
-"""Registered queries over the given tables."""
+"""Reports of the spec tables, device and debug reports."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from footfall.plans import reports
 from footfall.plans.specs import JOBS, REPORTS
-from footfall.session import use_report_zone
 from footfall.workload.log import log_of, lookups_of
+from footfall.workload.oracle import report_oracles
+from footfall.workload.registry import query
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def query(name: str):
-    def register(build: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(use_report_zone(spark), sf_dir)
-
-        QUERIES[name] = run
-        return build
-
-    return register
+_CHECKS = report_oracles()
 
 
 def _report(name: str) -> None:
-    query(name)(lambda spark, sf: reports.report(name, log_of(spark, sf), lookups_of(spark)))
+    query(name, _CHECKS[name])(lambda spark, sf: reports.report(name, log_of(spark, sf), lookups_of(spark)))
 
 
 for _name in [*REPORTS, *JOBS]:
     _report(_name)
 
-query("daily_terminal")(lambda spark, sf: reports.terminal(log_of(spark, sf)))
-query("debug_daily_trend")(lambda spark, sf: reports.debug_trend(log_of(spark, sf)))
-query("debug_hourly_trend")(lambda spark, sf: reports.debug_trend(log_of(spark, sf), by_hour=True))
+query("daily_terminal", _CHECKS["daily_terminal"])(lambda spark, sf: reports.terminal(log_of(spark, sf)))
+query("debug_daily_trend", _CHECKS["daily_trend"])(lambda spark, sf: reports.debug_trend(log_of(spark, sf)))
+query("debug_hourly_trend", _CHECKS["hourly_trend"])(lambda spark, sf: reports.debug_trend(log_of(spark, sf), by_hour=True))
