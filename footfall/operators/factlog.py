@@ -35,7 +35,7 @@ def fact_rows(log: DataFrame, lookups: Lookups) -> DataFrame:
             "scene_group": F.when(text.present(F.col("_scene")), F.col("scene_group")),
             "scene": F.col("_scene"),
             "qr_group": F.when(F.col("_qr"), F.col("qr_group")),
-            "link_scene": F.when(F.col("_link"), enrich.position_of(F.col("scene"))),
+            "link_scene": F.when(F.col("_link"), enrich.position_of(F.col("_scene"))),
             "media_id": F.when(F.col("_link"), F.col("media_id")),
             "phone_model": F.when(F.col("_phone"), F.col("model")),
             "phone_brand": F.when(F.col("_phone"), F.col("brand")),

@@ -56,24 +56,19 @@ def _facts(log: DataFrame, dims: list[str], identity: str, page_level: bool) ->
     )
 
 
-def traffic_totals(log: DataFrame, levels: Levels, identity: str = "uu", marks: DataFrame | None = None,
-                   auth: bool = False, page_level: bool = False) -> DataFrame:
-    """Totals for every level, a tuple of dimensions under (ak, day).
+def traffic_partials(log: DataFrame, levels: Levels, identity: str = "uu", auth: bool = False,
+                     page_level: bool = False) -> DataFrame:
+    """One row per dimension value, identity and page: what the totals are made of.
 
-    With several levels the result has a ``level`` column, and dimensions outside a
-    level read ``all``. ``marks`` is a table (day, att) of sessions to count as new.
+    Partials of different parts of a log merge (sums add, maxima win), so a stream can
+    store them per batch and a total over all of them is exact.
     """
     dims = list(dict.fromkeys(d for level in levels for d in level))
     many = len(levels) > 1
     rows = _facts(log, dims, identity, page_level)
     if many:
         # Shrink to the finest grain once, before rows are repeated per level.
-        rows = rows.groupBy(*BASE, *dims, "att", "pp", "visitor", "auth_id").agg(
-            F.sum("pv").alias("pv"),
-            F.max("stay").alias("stay"),
-            F.max("is_new").alias("is_new"),
-            F.sum("auth_first").alias("auth_first"),
-        )
+        rows = _merge(rows, [*BASE, *dims, "att", "pp", "visitor", "auth_id"])
         rows = at_levels(rows, levels, dims)
 
     group = [*BASE, *(["level"] if many else []), *dims]
@@ -85,11 +80,34 @@ def traffic_totals(log: DataFrame, levels: Levels, identity: str = "uu", marks:
         *group,
         "kind",
         identity_of.otherwise(F.col("auth_id")).alias("id"),
-        *[F.when(is_session, F.col(c)).alias(c) for c in ("pp", "pv", "stay", "is_new", "auth_first")],
+        *[F.when(is_session, F.col(c)).alias(c) for c in ("pp", *MEASURES)],
     ).filter(F.col("id").isNotNull())
+    return _merge(entries, [*group, "kind", "id", "pp"])
+
+
+MEASURES = ("pv", "stay", "is_new", "auth_first")
 
-    ids = entries.groupBy(*group, "kind", "id").agg(
-        F.count_distinct("pp").alias("pages"),
+
+def _merge(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.sum("pv").alias("pv"),
+        F.max("stay").alias("stay"),
+        F.max("is_new").alias("is_new"),
+        F.sum("auth_first").alias("auth_first"),
+    )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several batches as those of one."""
+    return _merge(partials, [c for c in partials.columns if c not in MEASURES])
+
+
+def totals_of(partials: DataFrame, marks: DataFrame | None = None, auth: bool = False) -> DataFrame:
+    """Totals per dimension value from merged partials."""
+    group = [c for c in partials.columns if c not in (*MEASURES, "kind", "id", "pp")]
+    is_session = F.col("kind") == SESSION
+    ids = partials.groupBy(*group, "kind", "id").agg(
+        F.count("pp").alias("pages"),
         F.sum("pv").alias("pv"),
         F.max("stay").alias("stay"),
         F.max("is_new").alias("is_new"),
@@ -122,6 +140,16 @@ def traffic_totals(log: DataFrame, levels: Levels, identity: str = "uu", marks:
     return totals
 
 
+def traffic_totals(log: DataFrame, levels: Levels, identity: str = "uu", marks: DataFrame | None = None,
+                   auth: bool = False, page_level: bool = False) -> DataFrame:
+    """Totals for every level, a tuple of dimensions under (ak, day).
+
+    With several levels the result has a ``level`` column, and dimensions outside a
+    level read ``all``. ``marks`` is a table (day, att) of sessions to count as new.
+    """
+    return totals_of(traffic_partials(log, levels, identity, auth, page_level), marks, auth)
+
+
 def at_levels(rows: DataFrame, levels: Levels, dims: list[str]) -> DataFrame:
     """Repeat rows once per level, dimensions outside the level set to ``all``."""
     repeated = rows.withColumn("level", F.explode(F.array(*[F.lit(level_name(lv)) for lv in levels])))

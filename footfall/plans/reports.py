@@ -11,7 +11,7 @@ from footfall import schema as S
 from footfall.functions import text, times, versions
 from footfall.operators import enrich, filters, first_seen, metrics, rollup, sessions, share
 from footfall.operators.joins import salted_join
-from footfall.operators.traffic import BASE, add_ratios, level_name, traffic_totals
+from footfall.operators.traffic import BASE, add_ratios, level_name, totals_of, traffic_partials, traffic_totals
 from footfall.plans.specs import ALL_RATIOS, JOBS, REPORTS, TERMINAL, TERMINAL_DIMS, VISIT_RATIOS, ReportSpec
 
 
@@ -42,19 +42,31 @@ def _prepare(log: DataFrame, spec: ReportSpec, lookups: Lookups) -> DataFrame:
     return rows
 
 
-def run(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
-    """One report, or several levels of it in one pass (then with a ``level`` column)."""
-    marks = enrich.new_session_marks(log) if spec.session_marks else None
+def report_rows(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
+    """The filtered and enriched rows a report counts."""
     rows = _prepare(log, spec, lookups)
-    if spec.auth:
-        rows = _with_authorisations(rows, log, auth_state)
-    totals = traffic_totals(rows, spec.levels, spec.identity, marks, spec.auth, spec.page_level)
-    result = add_ratios(totals, spec.ratios)
+    return _with_authorisations(rows, log, auth_state) if spec.auth else rows
+
+
+def report_partials(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
+    rows = report_rows(spec, log, lookups, auth_state)
+    return traffic_partials(rows, spec.levels, spec.identity, spec.auth, spec.page_level)
+
+
+def finish(spec: ReportSpec, partials: DataFrame, marks: DataFrame | None) -> DataFrame:
+    """Result columns of a report from its merged partials."""
+    result = add_ratios(totals_of(partials, marks, spec.auth), spec.ratios)
     shown = [*spec.metrics, *(["new_auth_count"] if spec.auth else []), *spec.ratios]
     level = ["level"] if len(spec.levels) > 1 else []
     return result.select(*BASE, *level, *spec.dims, *shown)
 
 
+def run(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
+    """One report, or several levels of it in one pass (then with a ``level`` column)."""
+    marks = enrich.new_session_marks(log) if spec.session_marks else None
+    return finish(spec, report_partials(spec, log, lookups, auth_state), marks)
+
+
 def _with_authorisations(rows: DataFrame, log: DataFrame, auth_state: DataFrame | None) -> DataFrame:
     """Append the records that count as a first authorisation.
 

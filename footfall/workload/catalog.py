@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from footfall.workload import advertising, queries, sharing  # noqa: F401  (registers)
+from footfall.workload import queries, advertising, counting, sharing, normalising, storing, streams  # noqa: F401  (registers)
 from footfall.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
