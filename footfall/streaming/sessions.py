@@ -7,9 +7,10 @@ use ``streaming.reports``, which needs no per-session state.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -100,6 +101,29 @@ class EntryChanges(_Sessions):
         yield pd.DataFrame(out, columns=[*[f"k{i}" for i in range(len(key))], "page_path", *ENTRY_SUMS])
 
 
+_SETTINGS = {
+    # Custom state lives in RocksDB.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # State with a time to live asks for one more batch for ever; a run over what is
+    # available would not end.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+@contextmanager
+def state_settings(spark: SparkSession):
+    """Settings the stateful streams need when they start; the session's own come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def _output(log: DataFrame, dims: list[str], extra: list[str], sums: list[str]) -> T.StructType:
     return T.StructType(
         [T.StructField(f"k{i}", log.schema[k].dataType) for i, k in enumerate([*dims, "att"])]

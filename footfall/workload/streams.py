@@ -67,9 +67,8 @@ def _uniques(spark, sf):
 def _sessions(spark, sf):
     root, dims = _root(spark, sf, "sessions"), ["ak", "te", "day"]
     changes = sessions.session_changes(log_stream(spark, sf, root), dims)
-    _with_state_store(spark, lambda: ingest.run_available(
-        sessions.keep_changes(changes, dims, sessions.SUMS, f"{root}/changes"), f"{root}/checkpoint"
-    ))
+    with sessions.state_settings(spark):
+        ingest.run_available(sessions.keep_changes(changes, dims, sessions.SUMS, f"{root}/changes"), f"{root}/checkpoint")
     schema = spark.createDataFrame([], "ak string, te string, day string, " + ", ".join(f"{c} long" for c in sessions.SUMS)).schema
     return uniques.running_totals(spark, f"{root}/changes", schema, dims, sessions.SUMS)
 
@@ -87,31 +86,13 @@ def _entries(spark, sf):
     root, dims = _root(spark, sf, "entries"), ["ak", "day"]
     changes = sessions.entry_changes(log_stream(spark, sf, root), dims)
     keys = [*dims, "page_path"]
-    _with_state_store(spark, lambda: ingest.run_available(
-        sessions.keep_changes(changes, keys, sessions.ENTRY_SUMS, f"{root}/changes"), f"{root}/checkpoint"
-    ))
+    with sessions.state_settings(spark):
+        ingest.run_available(sessions.keep_changes(changes, keys, sessions.ENTRY_SUMS, f"{root}/changes"), f"{root}/checkpoint")
     schema = spark.createDataFrame([], "ak string, day string, page_path string, " + ", ".join(f"{c} long" for c in sessions.ENTRY_SUMS)).schema
     totals = uniques.running_totals(spark, f"{root}/changes", schema, keys, sessions.ENTRY_SUMS)
     return totals.filter("entry_page_count <> 0")
 
 
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def _with_state_store(spark: SparkSession, run) -> None:
-    """Custom state needs the RocksDB store; the session's own choice comes back afterwards."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, _ROCKS)
-    try:
-        run()
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 @query(
     "stream_new_users",
     over_log("select ak, op, event_id from log where op <> 'useless_openid' qualify row_number() over (partition by ak, op order by et, event_id) = 1"),
