@@ -13,31 +13,29 @@ _UTM = ("ct_utm_s", "ct_utm_m", "ct_utm_p", "wsr_query_utm_s", "wsr_query_utm_m"
 _CORRUPT = "_malformed"
 
 
-def parse_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per well-formed JSON line with every raw field as text; malformed lines go."""
-    parse_schema = T.StructType([*S.RAW_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+def _parsed(value: str) -> Column:
+    """The line as a struct, with the line itself in ``_malformed`` where it does not parse."""
+    schema = T.StructType([*S.RAW_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = F.from_json(F.col(value), parse_schema, options)
-    return (
-        lines.filter(F.trim(F.col(value)).startswith("{"))
-        .select(*keep, parsed.alias("r"))
-        .filter(F.col(f"r.{_CORRUPT}").isNull())
-        .select(*keep, *[F.col(f"r.{name}").alias(name) for name in S.RAW_FIELDS])
-    )
+    return F.when(F.trim(F.col(value)).startswith("{"), F.from_json(F.col(value), schema, options))
+
+
+def parse_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per well-formed JSON line with every raw field as text; malformed lines go.
+
+    The struct is unpacked by a generator, not by field access: a filter on a field would
+    be pushed below the parse and parse every line again.
+    """
+    unpacked = lines.select(*keep, _parsed(value).alias("r")).select(*keep, F.inline(F.array(F.col("r"))))
+    is_line = F.col(_CORRUPT).isNull() & F.coalesce(*S.RAW_FIELDS).isNotNull()
+    return unpacked.filter(is_line).select(*keep, *S.RAW_FIELDS)
 
 
 def count_rejects(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines read and lines rejected, for monitoring a source."""
-    parse_schema = T.StructType([*S.RAW_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    bad = (
-        ~F.trim(F.col(value)).startswith("{")
-        | F.from_json(F.col(value), parse_schema, options)[_CORRUPT].isNotNull()
-    )
-    return lines.agg(
-        F.count("*").alias("lines"),
-        F.count_if(F.coalesce(bad, F.lit(True))).alias("rejected"),
-    )
+    parsed = lines.select(_parsed(value).alias("r"))
+    bad = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()
+    return parsed.agg(F.count("*").alias("lines"), F.count_if(bad).alias("rejected"))
 
 
 def normalize_log(lines: DataFrame, value: str = "value", ingest_ms: str | None = None,
@@ -57,24 +55,31 @@ def normalize_fields(raw: DataFrame, ingest_ms: str | None = None) -> DataFrame:
     extra = [c for c in raw.columns if c not in S.RAW_FIELDS]
     clean = raw.select(*extra, *[text.blank_to_null(F.col(f)).alias(f) for f in S.RAW_FIELDS])
 
-    ufo = F.get_json_object(F.get_json_object("ufo", "$.userInfo"), "$.gender")
-    first = clean.withColumns(
+    # Nested JSON is read into columns of its own first, so that each read happens once.
+    nested = clean.withColumns(
         {
-            "scene": F.coalesce("scene", text.blank_to_null(F.get_json_object("wsr", "$.scene"))),
+            "_scene": F.get_json_object("wsr", "$.scene"),
+            "_path": F.get_json_object("wsr", "$.path"),
+            "_gender": F.get_json_object(F.get_json_object("ufo", "$.userInfo"), "$.gender"),
+        }
+    )
+    first = nested.withColumns(
+        {
+            "scene": F.coalesce("scene", text.blank_to_null(F.col("_scene"))),
             "path": F.coalesce(
                 text.blank_to_null(text.url_without_params(F.col("ct_path"))),
                 F.col("path"),
-                text.blank_to_null(F.get_json_object("wsr", "$.path")),
+                text.blank_to_null(F.col("_path")),
             ),
             "ct_utm_s": F.coalesce(text.query_param(F.col("ct_path"), "utm_s"), F.col("ct_utm_s")),
-            "gender": F.coalesce(text.blank_to_null(ufo), F.col("gender")),
+            "gender": F.coalesce(text.blank_to_null(F.col("_gender")), F.col("gender")),
             "img": F.coalesce("img", F.lit(S.NO_IMG)),
             "ifo": F.coalesce("ifo", F.lit("false")),
             "te": F.coalesce("te", F.lit(S.DEFAULT_PLATFORM)),
             "op": F.coalesce("op", F.lit(S.NO_OPENID)),
             "v": F.coalesce("v", F.lit(S.DEFAULT_SDK)),
         }
-    )
+    ).drop("_scene", "_path", "_gender")
 
     utm_s, utm_m = F.col("wsr_query_utm_s"), F.col("wsr_query_utm_m")
     from_utm_qr = F.col("qr").isNull() & F.col("scene").isin(*S.QR_SCENES) & utm_s.isNotNull()

@@ -8,6 +8,10 @@ from pyspark.sql import SparkSession
 
 REPORT_TIME_ZONE = "UTC"
 
+# Wide log rows make generated methods longer than the JVM compiles by default; without
+# this they stay interpreted. On a cluster it belongs into the executors' options too.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 
 def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benches on one machine."""
@@ -17,6 +21,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", REPORT_TIME_ZONE)
         .config("spark.driver.memory", memory)
+        .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
