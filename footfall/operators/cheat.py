@@ -22,6 +22,7 @@ def suspicious_ips(log: DataFrame, threshold: int = CHEAT_THRESHOLD, auth_state:
         & text.present(F.col("link_key"))
         & versions.at_least(F.col("v"), minimum_version)
     )
+    visits = first_seen.slim(visits, ("ak", "op", "client_ip", "day", "et", "event_id", "img"))
     firsts = first_seen.first_seen(first_seen.auth_records(visits), auth_state, first_seen.AUTH)
     rows = visits.select("ak", "client_ip", "op", F.lit(0).alias("authorised")).unionByName(
         firsts.select("ak", "client_ip", "op", F.lit(1).alias("authorised"))

@@ -16,6 +16,11 @@ KEYS = ("ak", "op")
 NEW_USER, AUTH, ACTIVITY = "new_user", "auth", "adxlink"
 
 
+def slim(events: DataFrame, columns) -> DataFrame:
+    """The named columns that are there. First records are kept whole, so prune before finding them."""
+    return events.select(*dict.fromkeys(c for c in columns if c in events.columns))
+
+
 def first_records(events: DataFrame, keys=KEYS, order=("et", "event_id")) -> DataFrame:
     """The earliest record of every key, whole. Equal order values fall back to the other columns."""
     order = [c for c in order if c in events.columns]
@@ -30,12 +35,15 @@ def state_of(state: DataFrame, kind: str, name: str = "_known") -> DataFrame:
 
 
 def first_seen(events: DataFrame, state: DataFrame | None = None, kind: str = NEW_USER,
-               order=("et", "event_id")) -> DataFrame:
+               order=("et", "event_id"), strict: bool = False) -> DataFrame:
     """The first record of each key that is new.
 
     New: the key is not in the state, or the state got it on that same day, so that a
-    second run over the day gives the first run's answer.
+    second run over the day gives the first run's answer. ``strict`` is the rule of
+    streams, where the state holds what earlier batches of the day saw: not in the state.
     """
+    if strict and state is not None:
+        return first_seen_strict(events, state, kind, order)
     firsts = first_records(events, KEYS, order)
     if state is None:
         return firsts

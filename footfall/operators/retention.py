@@ -11,6 +11,7 @@ from footfall.schema import RETENTION_DAYS
 
 DEFAULT = "default"
 DIMENSIONS = ("link_key", "media_id", "position_id")
+_COLUMNS = ("ak", "op", "day", "et", "event_id", "att", "ifo", "link_key", "media_id", "scene", "pp")
 
 
 def base_users(log: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def cohort_visits(log: DataFrame, links: DataFrame, state: DataFrame | None = No
 
     All cohort days in one pass; the link table is joined on app and link.
     """
-    known = log.filter(filters.has_openid())
+    known = first_seen.slim(log.filter(filters.has_openid()), _COLUMNS)
     marked = first_seen.with_new_users(known, first_seen.first_seen(known, state))
     visits = marked.filter(text.present(F.col("link_key")) & text.present(F.col("pp")))
     return (

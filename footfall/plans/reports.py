@@ -11,7 +11,7 @@ from footfall import schema as S
 from footfall.functions import text, times, versions
 from footfall.operators import enrich, filters, first_seen, metrics, rollup, sessions, share
 from footfall.operators.joins import salted_join
-from footfall.operators.traffic import BASE, add_ratios, level_name, totals_of, traffic_partials, traffic_totals
+from footfall.operators.traffic import BASE, add_ratios, level_name, totals_of, traffic_partials
 from footfall.plans.specs import ALL_RATIOS, JOBS, REPORTS, TERMINAL, TERMINAL_DIMS, VISIT_RATIOS, ReportSpec
 
 
@@ -42,14 +42,21 @@ def _prepare(log: DataFrame, spec: ReportSpec, lookups: Lookups) -> DataFrame:
     return rows
 
 
-def report_rows(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
+# What the report core and the marking of users read, beside the dimensions.
+_CORE = ("ak", "day", "att", "pp", "uu", "op", "ev", "dr", "ifo", "img", "et", "event_id")
+
+
+def report_rows(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None,
+                strict: bool = False) -> DataFrame:
     """The filtered and enriched rows a report counts."""
-    rows = _prepare(log, spec, lookups)
-    return _with_authorisations(rows, log, auth_state) if spec.auth else rows
+    rows = first_seen.slim(_prepare(log, spec, lookups), (*_CORE, *spec.dims))
+    return _with_authorisations(rows, log, auth_state, strict) if spec.auth else rows
 
 
-def report_partials(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
-    rows = report_rows(spec, log, lookups, auth_state)
+def report_partials(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None,
+                    strict: bool = False) -> DataFrame:
+    """What the report's totals are made of. ``strict`` marks users by the rule of streams."""
+    rows = report_rows(spec, log, lookups, auth_state, strict)
     return traffic_partials(rows, spec.levels, spec.identity, spec.auth, spec.page_level)
 
 
@@ -67,14 +74,14 @@ def run(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_sta
     return finish(spec, report_partials(spec, log, lookups, auth_state), marks)
 
 
-def _with_authorisations(rows: DataFrame, log: DataFrame, auth_state: DataFrame | None) -> DataFrame:
+def _with_authorisations(rows: DataFrame, log: DataFrame, auth_state: DataFrame | None, strict: bool) -> DataFrame:
     """Append the records that count as a first authorisation.
 
     With an open id: the first authorisation of (ak, op) that the state does not hold.
     Without: authorisations in a new session, which may have been marked by any record.
     Both are found on the few authorisation records only.
     """
-    firsts = first_seen.first_seen(first_seen.auth_records(rows), auth_state, first_seen.AUTH)
+    firsts = first_seen.first_seen(first_seen.auth_records(rows), auth_state, first_seen.AUTH, strict=strict)
     anonymous = rows.filter(~filters.has_openid() & filters.is_authorised())
     marks = enrich.new_session_marks(log).withColumn("_new", F.lit(True))
     marked = salted_join(anonymous, marks, ["day", "att"], ["et", "uu", "pp"], "left").filter((F.col("ifo") == "true") | F.col("_new"))
@@ -121,43 +128,57 @@ def user_share(log: DataFrame) -> DataFrame:
 # -- advertising ------------------------------------------------------------------
 
 
-def _ad_rows(log: DataFrame, new_state: DataFrame | None) -> DataFrame:
+_AD_COLUMNS = (*_CORE, "hour", "scene", "link_key", "media_id")
+AD_METRICS = ["new_auth_count", "visitor_count", "open_count", "new_comer_count", "total_stay_time", "one_page_count"]
+
+
+def _ad_rows(log: DataFrame, new_state: DataFrame | None, strict: bool = False) -> DataFrame:
     """Records with an open id; only the first record of a new user says so."""
     known = log.filter(filters.has_openid() & text.present(F.col("ak")) & F.col("et").isNotNull())
-    return first_seen.with_new_users(known, first_seen.first_seen(known, new_state, first_seen.NEW_USER))
+    known = first_seen.slim(known, _AD_COLUMNS)
+    return first_seen.with_new_users(known, first_seen.first_seen(known, new_state, first_seen.NEW_USER, strict=strict))
 
 
 def _ad_link_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
     return enrich.add_position(enrich.add_media(filters.require(rows, "ad"), links))
 
 
-def _clamp(totals: DataFrame) -> DataFrame:
+def _ad_partials(rows: DataFrame, levels, auth_state: DataFrame | None, strict: bool = False) -> DataFrame:
+    real = rows.filter(F.col("_counted") == 1)
+    firsts = first_seen.first_seen(first_seen.auth_records(real), auth_state, first_seen.AUTH, strict=strict)
+    marked = first_seen.with_first_auth(rows, firsts.drop("_counted", "_auth_first", "_auth_id"))
+    return traffic_partials(marked, levels, "op", auth=True)
+
+
+def _ad_totals(partials: DataFrame) -> DataFrame:
+    """New users never exceed visitors."""
+    totals = totals_of(partials, auth=True)
     return totals.withColumn("new_comer_count", F.least("new_comer_count", "visitor_count"))
 
 
-def _ad_totals(rows: DataFrame, levels, auth_state: DataFrame | None) -> DataFrame:
-    real = rows.filter(F.col("_counted") == 1)
-    firsts = first_seen.first_seen(first_seen.auth_records(real), auth_state, first_seen.AUTH)
-    marked = first_seen.with_first_auth(rows, firsts.drop("_counted", "_auth_first", "_auth_id"))
-    return _clamp(traffic_totals(marked, levels, "op", auth=True))
+def ad_link_partials(log: DataFrame, links: DataFrame, levels=rollup.LINK_LEVELS, new_state: DataFrame | None = None,
+                     auth_state: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    return _ad_partials(_ad_link_rows(_ad_rows(log, new_state, strict), links), levels, auth_state, strict)
 
 
-AD_METRICS = ["new_auth_count", "visitor_count", "open_count", "new_comer_count", "total_stay_time", "one_page_count"]
+def finish_ads(partials: DataFrame, levels=rollup.LINK_LEVELS) -> DataFrame:
+    """Result columns of the advertising reports from their merged partials."""
+    dims = list(dict.fromkeys(d for level in levels for d in level))
+    totals = add_ratios(_ad_totals(partials), VISIT_RATIOS)
+    return totals.select(*BASE, *(["level"] if len(levels) > 1 else []), *dims, *AD_METRICS, *VISIT_RATIOS)
 
 
 def ad_reports(log: DataFrame, links: DataFrame, levels=rollup.LINK_LEVELS, new_state: DataFrame | None = None,
                auth_state: DataFrame | None = None) -> DataFrame:
     """Link visits by every level in one pass: visitors by open id, exact at each level."""
-    rows = _ad_link_rows(_ad_rows(log, new_state), links)
-    totals = add_ratios(_ad_totals(rows, levels, auth_state), VISIT_RATIOS)
-    dims = list(dict.fromkeys(d for level in levels for d in level))
-    return totals.select(*BASE, *(["level"] if len(levels) > 1 else []), *dims, *AD_METRICS, *VISIT_RATIOS)
+    return finish_ads(ad_link_partials(log, links, levels, new_state, auth_state), levels)
 
 
 def app_totals(log: DataFrame, by_hour: bool = False, new_state: DataFrame | None = None,
                auth_state: DataFrame | None = None) -> DataFrame:
     """Visitors, new users and authorisations of the whole app, with or without a link."""
-    totals = _ad_totals(_ad_rows(log, new_state), (("hour",) if by_hour else (),), auth_state)
+    rows = _ad_rows(log, new_state)
+    totals = _ad_totals(_ad_partials(rows, (("hour",) if by_hour else (),), auth_state))
     return totals.select(
         *BASE,
         *(["hour"] if by_hour else []),
@@ -217,7 +238,7 @@ def activity_detail(log: DataFrame, links: DataFrame, media: DataFrame, state: D
     """
     keys = ["ak", "op", "day", "hour", "activity", "channel"]
     rows = filters.require(log, "activity").filter(filters.has_openid())
-    rows = enrich.add_activity_channel(rows, links, media)
+    rows = first_seen.slim(enrich.add_activity_channel(rows, links, media), [*keys, "et", "event_id", "ifo", "img"])
     firsts = first_seen.first_seen(rows.filter(F.col("ifo") == "true"), state, first_seen.ACTIVITY)
     new = firsts.select(
         *keys, F.lit(True).alias("_new"), F.col("et").alias("_new_ts"),

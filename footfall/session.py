@@ -8,9 +8,9 @@ from pyspark.sql import SparkSession
 
 REPORT_TIME_ZONE = "UTC"
 
-# Wide log rows make generated methods longer than the JVM compiles by default; without
-# this they stay interpreted. On a cluster it belongs into the executors' options too.
-JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+# The JVM leaves methods beyond 8000 bytes of bytecode uncompiled, and wide log rows make
+# longer ones. From this limit on Spark splits a stage into smaller methods instead.
+_METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -21,7 +21,6 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", REPORT_TIME_ZONE)
         .config("spark.driver.memory", memory)
-        .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
@@ -32,10 +31,11 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     return spark
 
 
-def use_report_zone(spark: SparkSession, zone: str = REPORT_TIME_ZONE) -> SparkSession:
-    """Pin the zone in which days and hours are cut, so results do not follow the machine."""
-    if spark.conf.get("spark.sql.session.timeZone") != zone:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+def use_report_settings(spark: SparkSession, zone: str = REPORT_TIME_ZONE) -> SparkSession:
+    """Pin the zone in which days and hours are cut, so results do not follow the machine, and the method limit."""
+    for key, value in (("spark.sql.session.timeZone", zone), _METHOD_LIMIT):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 

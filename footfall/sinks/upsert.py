@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from footfall.operators.traffic import add_ratios
 
 SET, ACC = "set", "acc"
-FILES_PER_DAY = 8
 
 
 def merge_totals(stored: DataFrame, delta: DataFrame, keys: list[str], policy: str = SET,
@@ -54,7 +53,7 @@ def upsert_table(delta: DataFrame, path: str, staging: str, keys: list[str], pol
         merged.write.mode("overwrite").parquet(staging)
     (
         spark.read.schema(delta.schema).parquet(staging)
-        .repartition(partition, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_DAY)))
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

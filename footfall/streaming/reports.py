@@ -9,27 +9,34 @@ What a batch reads back is the reduced partials of its days, not the log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.storagelevel import StorageLevel
 
-from footfall.operators import enrich, first_seen
-from footfall.operators.traffic import merge_partials
-from footfall.plans.reports import Lookups, finish, report_partials
+from footfall.operators import enrich, filters, first_seen
+from footfall.operators.rollup import LINK_LEVELS
+from footfall.operators.traffic import Levels, merge_partials
+from footfall.plans.reports import Lookups, ad_link_partials, finish, finish_ads, report_partials, report_rows
 from footfall.plans.specs import ReportSpec
 from footfall.schema import FIRST_SEEN_SCHEMA
 from footfall.sinks.files import replace_days
 from footfall.streaming.tables import ensure_table, read_batches, write_batch
 
 
+ADS = "ad_reports"
+
+
 class ReportTables:
     """Where one streamed report keeps its tables."""
 
-    def __init__(self, root: str, spec: ReportSpec):
-        base = f"{root.rstrip('/')}/{spec.name}"
+    def __init__(self, root: str, name: str):
+        base = f"{root.rstrip('/')}/{name}"
         self.partials = f"{base}/partials"
         self.marks = f"{base}/marks"
-        self.auth_state = f"{base}/auth_state"
+        self.state = f"{base}/state"
         self.totals = f"{base}/totals"
         self.checkpoint = f"{base}/checkpoint"
 
@@ -39,36 +46,73 @@ def refresh(spec: ReportSpec, log: DataFrame, batch_id: int, tables: ReportTable
     spark = log.sparkSession
     state = None
     if spec.auth:
-        ensure_table(spark, tables.auth_state, FIRST_SEEN_SCHEMA)
-        state = read_batches(spark, tables.auth_state, FIRST_SEEN_SCHEMA, before=batch_id)
+        state = _state_before(spark, tables, batch_id)
 
-    partials = report_partials(spec, log, lookups, state)
+    partials = report_partials(spec, log, lookups, state, strict=True)
     write_batch(partials, tables.partials, batch_id, "day")
     marks = enrich.new_session_marks(log)
     if spec.session_marks:
         ensure_table(spark, tables.marks, marks.schema, "day")
         write_batch(marks, tables.marks, batch_id, "day")
     if spec.auth:
-        seen = first_seen.update_state(None, first_seen.auth_records(log), first_seen.AUTH)
-        write_batch(seen, tables.auth_state, batch_id)
+        # Only authorisations of the report's own rows count as seen.
+        rows = report_rows(replace(spec, auth=False), log, lookups)
+        seen = first_seen.update_state(None, first_seen.auth_records(rows), first_seen.AUTH)
+        write_batch(seen, tables.state, batch_id)
 
     days = log.select("day").distinct()
-    stored = read_batches(spark, tables.partials, partials.schema).join(days, "day", "left_semi")
     all_marks = None
     if spec.session_marks:
         all_marks = read_batches(spark, tables.marks, marks.schema).join(days, "day", "left_semi").distinct()
-    columns = partials.columns
-    replace_days(finish(spec, merge_partials(stored.select(*columns)), all_marks), tables.totals)
+    replace_days(finish(spec, _of_days(partials, days, tables), all_marks), tables.totals)
+
+
+def refresh_ads(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, levels: Levels) -> None:
+    """The advertising reports, with new and authorised users against one state table."""
+    spark = log.sparkSession
+    state = _state_before(spark, tables, batch_id)
+    partials = ad_link_partials(log, links, levels, state, state, strict=True)
+    write_batch(partials, tables.partials, batch_id, "day")
+
+    known = log.filter(filters.has_openid())
+    visits = enrich.add_media(filters.require(known, "ad"), links)
+    seen = first_seen.update_state(None, known, first_seen.NEW_USER)
+    authorised = first_seen.update_state(None, first_seen.auth_records(visits), first_seen.AUTH)
+    write_batch(seen.unionByName(authorised), tables.state, batch_id)
+
+    stored = _of_days(partials, log.select("day").distinct(), tables)
+    replace_days(finish_ads(stored, levels), tables.totals)
+
+
+def _state_before(spark: SparkSession, tables: ReportTables, batch_id: int) -> DataFrame:
+    """First-seen state as earlier batches left it, so that a replay decides the same."""
+    ensure_table(spark, tables.state, FIRST_SEEN_SCHEMA)
+    return read_batches(spark, tables.state, FIRST_SEEN_SCHEMA, before=batch_id)
+
+
+def _of_days(partials: DataFrame, days: DataFrame, tables: ReportTables) -> DataFrame:
+    """Stored partials of the given days, merged over their batches."""
+    stored = read_batches(partials.sparkSession, tables.partials, partials.schema)
+    return merge_partials(stored.join(days, "day", "left_semi").select(*partials.columns))
 
 
 def stream_report(log: DataFrame, spec: ReportSpec, root: str, lookups: Lookups = Lookups()) -> DataStreamWriter:
     """A writer that keeps the report's totals; start it with ``ingest.run_available`` or ``start_every``."""
-    tables = ReportTables(root, spec)
+    tables = ReportTables(root, spec.name)
+    return _each_batch(log, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups))
+
+
+def stream_ads(log: DataFrame, root: str, links: DataFrame, levels: Levels = LINK_LEVELS) -> DataStreamWriter:
+    """The advertising reports as a stream."""
+    tables = ReportTables(root, ADS)
+    return _each_batch(log, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
+
 
+def _each_batch(log: DataFrame, enter: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            refresh(spec, batch, batch_id, tables, lookups)
+            enter(batch, batch_id)
         finally:
             batch.unpersist()
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.session import use_report_zone
+from footfall.session import use_report_settings
 from footfall.workload.log import oracle_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,7 @@ def query(name: str, check: str | None = None):
             raise ValueError(f"{name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(use_report_zone(spark), sf_dir)
+            return build(use_report_settings(spark), sf_dir)
 
         QUERIES[name] = run
         if check is not None:

@@ -25,7 +25,7 @@ def place(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def _stored_log(spark: SparkSession, sf_dir: str, name: str, log: DataFrame | None = None) -> str:
     path = place(spark, sf_dir, name)
-    files.write_log(log_of(spark, sf_dir) if log is None else log, path, files_per_hour=1, mode="overwrite")
+    files.write_log(log_of(spark, sf_dir) if log is None else log, path, mode="overwrite")
     return path
 
 

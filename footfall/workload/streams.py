@@ -7,11 +7,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.operators import first_seen
+from footfall.operators import first_seen, metrics
 from footfall.operators.filters import has_openid
-from footfall.plans.specs import JOBS, REPORTS
+from footfall.plans.specs import AD_LEVELS, JOBS, REPORTS
+from footfall.sinks import publish
+from footfall.sinks.upsert import upsert_table
 from footfall.streaming import ingest, reports, sessions, tables, uniques
-from footfall.workload.log import log_of, lookups_of
+from footfall.workload.log import log_of, lookup, lookups_of
 from footfall.workload.registry import ORACLES, over_log, query
 from footfall.workload.storing import place
 
@@ -21,11 +23,22 @@ MONTH = "40 days"
 
 
 def log_stream(spark: SparkSession, sf_dir: str, root: str, ordered: bool = False) -> DataFrame:
-    """The log as files, one per micro-batch; records of one session are spread over them."""
+    """The log as files, one per micro-batch.
+
+    Records of one session are spread over all files; or, ``ordered``, files follow the
+    clock, with cuts inside a day.
+    """
     log = log_of(spark, sf_dir)
-    part = F.pmod(F.xxhash64("event_id"), F.lit(FILES)) if not ordered else F.lit(0)
-    log.repartition(1 if ordered else FILES, part).write.mode("overwrite").parquet(f"{root}/input")
-    return ingest.file_stream(spark, f"{root}/input", log.schema)
+    path = f"{root}/input"
+    if ordered:
+        slices = ["day < '20240111' and (day < '20240110' or hour < '12')", "day < '20240121'", "true"]
+        before = "false"
+        for part in slices:
+            log.filter(f"({part}) and not ({before})").coalesce(1).write.mode("append").parquet(path)
+            before = part
+    else:
+        log.repartition(FILES, F.pmod(F.xxhash64("event_id"), F.lit(FILES))).write.mode("overwrite").parquet(path)
+    return ingest.file_stream(spark, path, log.schema)
 
 
 def _root(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -33,18 +46,46 @@ def _root(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{place(spark, sf_dir, name)}/{uuid.uuid4().hex}"
 
 
-for _name in ("trend_job", "daily_scene", "daily_link"):
+def _totals(spark: SparkSession, kept: reports.ReportTables) -> DataFrame:
+    return spark.read.parquet(kept.totals).withColumn("day", F.col("day").cast("string"))
+
+
+for _name in ("trend_job", "daily_scene", "daily_link", "link_expansion"):
 
     @query(f"stream_{_name}", ORACLES[_name])
     def _stream(spark, sf, name=_name):
         root = _root(spark, sf, f"stream_{name}")
         spec = REPORTS.get(name) or JOBS[name]
-        # First authorisations go to the first arrival, so that one report gets its log in order.
+        # First authorisations go to the first arrival, so these get their log in order.
         stream = log_stream(spark, sf, root, ordered=spec.auth)
-        writer = reports.stream_report(stream, spec, root, lookups_of(spark))
-        kept = reports.ReportTables(root, spec)
-        ingest.run_available(writer, kept.checkpoint)
-        return spark.read.option("mergeSchema", "false").parquet(kept.totals).withColumn("day", F.col("day").cast("string"))
+        kept = reports.ReportTables(root, spec.name)
+        ingest.run_available(reports.stream_report(stream, spec, root, lookups_of(spark)), kept.checkpoint)
+        return _totals(spark, kept)
+
+
+@query("stream_ad_levels", ORACLES["ad_levels"])
+def _ads(spark, sf):
+    root = _root(spark, sf, "stream_ads")
+    kept = reports.ReportTables(root, reports.ADS)
+    stream = log_stream(spark, sf, root, ordered=True)
+    ingest.run_available(reports.stream_ads(stream, root, lookup(spark, "links"), AD_LEVELS), kept.checkpoint)
+    return _totals(spark, kept)
+
+
+@query("stream_messages_to_table", over_log("select ak, day, te, count(*) as pv from log group by all"))
+def _messages(spark, sf):
+    """Published rows consumed batch by batch and entered into a table."""
+    root = _root(spark, sf, "messages")
+    rows = metrics.record_count(log_of(spark, sf), ["ak", "day", "te"])
+    messages = publish.to_messages(rows, "pv")
+    messages.repartition(2).write.parquet(f"{root}/topic")
+    source = ingest.file_stream(spark, f"{root}/topic", messages.schema)
+
+    def enter(batch: DataFrame, batch_id: int) -> None:
+        upsert_table(batch, f"{root}/table", f"{root}/staged/{batch_id}", ["ak", "day", "te"])
+
+    publish.apply_messages(source, rows.schema, enter, f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{root}/table")
 
 
 @query("stream_unique_visitors", over_log("select ak, day, count(distinct uu) as uv from log group by all"))

@@ -71,7 +71,7 @@ def test_page_views_read_only_their_columns(spark, sf_dir, tmp_path):
     from footfall.sinks import files
     from footfall.sources import logs
 
-    files.write_log(log_of(spark, sf_dir), str(tmp_path / "log"), files_per_hour=1)
+    files.write_log(log_of(spark, sf_dir), str(tmp_path / "log"), files_per_hour=files.FILES_PER_HOUR)
     stored = logs.read_log(spark, str(tmp_path / "log"), log_of(spark, sf_dir).schema)
     plan = _plan(metrics.unique(logs.of_hours(stored, "20240110", "00", "05"), ["ak"], "uu"))
     scan = plan[plan.index("ReadSchema"):]

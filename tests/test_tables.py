@@ -91,7 +91,7 @@ def test_kafka_rows_become_log_lines(spark):
 
 def test_replayed_batch_leaves_totals(spark, sf_dir, tmp_path):
     """A batch that is entered again after a failure changes nothing."""
-    spec, kept = JOBS["trend_job"], streamed.ReportTables(str(tmp_path), JOBS["trend_job"])
+    spec, kept = JOBS["trend_job"], streamed.ReportTables(str(tmp_path), "trend_job")
     log = log_of(spark, sf_dir)
     parts = [log.filter(F.col("event_id") % 3 == i) for i in range(3)]
     for batch_id in (0, 1, 1, 2, 2):
