@@ -14,7 +14,8 @@ def blank_to_null(col: Column) -> Column:
 
 
 def present(col: Column) -> Column:
-    return F.coalesce((F.trim(col) != "") & (col != NULL_TEXT), F.lit(False))
+    """Neither null, blank nor ``null``. Plain conjuncts, so a file scan can take part of them."""
+    return col.isNotNull() & (col != NULL_TEXT) & (F.trim(col) != "")
 
 
 def or_default(col: Column, default: str) -> Column:

@@ -79,6 +79,15 @@ def test_page_views_read_only_their_columns(spark, sf_dir, tmp_path):
     assert "day#" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
 
 
+def test_required_fields_reach_the_scan(spark, sf_dir, tmp_path):
+    from footfall.operators import filters
+
+    log_of(spark, sf_dir).write.parquet(str(tmp_path / "log"))
+    plan = _plan(filters.require(spark.read.parquet(str(tmp_path / "log")), "qr").select("ak"))
+    pushed = plan[plan.index("PushedFilters"):plan.index("ReadSchema")]
+    assert "IsNotNull(qr)" in pushed and "Not(EqualTo(qr,null))" in pushed
+
+
 def test_lookup_with_hot_link(spark):
     from footfall.operators.enrich import add_media
 
