@@ -85,7 +85,7 @@ def test_required_fields_reach_the_scan(spark, sf_dir, tmp_path):
     log_of(spark, sf_dir).write.parquet(str(tmp_path / "log"))
     plan = _plan(filters.require(spark.read.parquet(str(tmp_path / "log")), "qr").select("ak"))
     pushed = plan[plan.index("PushedFilters"):plan.index("ReadSchema")]
-    assert "IsNotNull(qr)" in pushed and "Not(EqualTo(qr,null))" in pushed
+    assert "IsNotNull(ak)" in pushed and "Not(EqualTo(ak,null))" in pushed
 
 
 def test_lookup_with_hot_link(spark):
