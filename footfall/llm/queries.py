@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import exact_dedup, mixing, url_rules
+from footfall.llm import exact_dedup, language_id, mixing, near_dedup, token_counts, url_rules
 from footfall.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,39 @@ from documents window same as (partition by coalesce(text, ''))"""
 @_query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.MODEL))
+
+
+@_query
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_copies(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_minhash_near_dedup"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+runs as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from words)),
+sizes as (select doc_id, count(*) as n from runs group by doc_id),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as c from runs a join runs b using (s) where a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 75 * (p.n + q.n - c)),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.y from reach r join links l on l.x = r.other),
+parts as (select doc_id, min(other) as component_id from reach group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join parts using (doc_id) left join sizes using (doc_id)"""
