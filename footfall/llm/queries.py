@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from footfall.llm import exact_dedup, language_id, mixing, near_dedup, token_counts, url_rules
+from footfall.llm import decontamination, exact_dedup, language_id, mixing, near_dedup, suffix_dedup, token_counts, url_rules
 from footfall.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +96,21 @@ reach(doc_id, other) as (
 parts as (select doc_id, min(other) as component_id from reach group by doc_id)
 select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
 from documents d join parts using (doc_id) left join sizes using (doc_id)"""
+
+
+@_query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@_query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
