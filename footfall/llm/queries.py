@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontamination, exact_dedup, language_id, lm_scoring, mixing, near_dedup, suffix_dedup, token_counts, url_rules
+from footfall.llm import (
+    chat_quotes,
+    decontamination,
+    exact_dedup,
+    language_id,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    suffix_dedup,
+    token_counts,
+    url_rules,
+)
 from footfall.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +130,49 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @_query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.format_chat(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op4_chat_formatting"] = r"""
+with recursive messages as (
+  select conv_id, turn, role, t, row_number() over () as m from (
+    select conv_id, turn, role, replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) as t from conversations)),
+split as (
+  select m, conv_id, turn, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as spot from messages),
+marked as (
+  select *, regexp_extract(line, '^((?:[ \t]*>)+)', 1) as mark from split),
+lines as (
+  select m, conv_id, turn, spot, length(regexp_replace(mark, '[^>]', '', 'g')) as level,
+         trim(lower(regexp_replace(line[length(mark) + 1:], '[ \t\n\v\f\r]+', ' ', 'g'))) as said from marked),
+runs as (
+  select *, sum(fresh) over (partition by m order by spot) as passage from (
+    select *, case when lag(level) over (partition by m order by spot) = level then 0 else 1 end as fresh from lines)),
+quoted as (select * from runs where level > 0 and said <> ''),
+sources as (
+  select q.m, q.conv_id, q.turn, q.passage, q.level, q.spot, max(o.turn) as source
+  from quoted q left join lines o on o.conv_id = q.conv_id and o.said = q.said and o.level = 0 and o.turn < q.turn
+  group by all),
+votes as (select m, conv_id, turn, passage, source, count(*) as n from sources where source is not null group by all),
+best as (select m, passage, arg_max(source, (n, source)) as source, max(n) as n from votes group by all),
+passages as (
+  select q.m, q.conv_id, q.turn, q.passage, any_value(q.level) as level,
+         case when 2 * any_value(b.n) >= count(*) then any_value(b.source) end as source
+  from quoted q left join best b on b.m = q.m and b.passage = q.passage group by q.m, q.conv_id, q.turn, q.passage),
+answers as (
+  select m, conv_id, turn, count(*) as passages, count(source) as linked,
+         arg_min(source, (level, passage)) filter (where source is not null) as reply_to from passages group by all),
+above as (select conv_id, turn, max(reply_to) as up from answers where reply_to is not null group by all),
+chain(conv_id, turn, top, depth) as (
+  select conv_id, turn, up, 1 from above
+  union all select c.conv_id, c.turn, a.up, c.depth + 1 from chain c join above a on a.conv_id = c.conv_id and a.turn = c.top),
+roots as (select conv_id, turn, arg_max(top, depth) as thread, max(depth) as depth from chain group by all)
+select x.conv_id, x.turn, x.role, coalesce(passages, 0) as passages, coalesce(linked, 0) as linked, reply_to,
+  case when reply_to is null then x.turn else thread end as thread, case when reply_to is null then 0 else depth end as depth,
+  regexp_replace(regexp_replace(t, '(?m)^[ \t]*>[^\n]*\n?', '', 'g'), '^[ \t\n\v\f\r]+|[ \t\n\v\f\r]+$', '', 'g') as body,
+  '<|' || coalesce(x.role, 'unknown') || '|>' || chr(10) ||
+  regexp_replace(regexp_replace(t, '(?m)^[ \t]*>[^\n]*\n?', '', 'g'), '^[ \t\n\v\f\r]+|[ \t\n\v\f\r]+$', '', 'g') as formatted
+from messages x left join answers using (m) left join roots r on r.conv_id = x.conv_id and r.turn = x.turn"""
