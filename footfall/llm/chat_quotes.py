@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from footfall.llm.shared import staged, whole_text
 
 _QUOTE = r"(?md)^[ \t]*>"
-_MARK = r"(?d)^((?:[ \t]*>)+)"
+_MARK = r"^([ \t>]*>)"
 _QUOTED_LINE = r"(?md)^[ \t]*>[^\n]*\n?"
 #: Turns of a block within which lines are ordered; messages of one part of a conversation.
 TURNS = 256

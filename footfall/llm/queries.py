@@ -144,7 +144,7 @@ with recursive messages as (
 split as (
   select m, conv_id, turn, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as spot from messages),
 marked as (
-  select *, regexp_extract(line, '^((?:[ \t]*>)+)', 1) as mark from split),
+  select *, regexp_extract(line, '^([ \t>]*>)', 1) as mark from split),
 lines as (
   select m, conv_id, turn, spot, length(regexp_replace(mark, '[^>]', '', 'g')) as level,
          trim(lower(regexp_replace(line[length(mark) + 1:], '[ \t\n\v\f\r]+', ' ', 'g'))) as said from marked),
