@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import staged
+from footfall.llm.shared import without
 from footfall.llm.words import shingles, word_blocks
 
 OVERLAP = 0.75
@@ -247,6 +247,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: s
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a leak, with their columns; those with a null key are judged too and kept or dropped as one."""
-    leaked = staged(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    """The documents without a leak, with their columns; rows of one key are kept or dropped as one."""
+    return without(docs, find_leaks(docs, benchmark).select("doc_id"), "doc_id")

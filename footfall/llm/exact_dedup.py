@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import staged, whole_text
+from footfall.llm.shared import staged, unused, whole_text, without
 
 SALTS = 32
 
@@ -63,7 +63,20 @@ def exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", salts
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns.
 
-    The keys of dropped rows are written first, so Spark knows their size when it chooses the join.
+    Of rows that repeat key and text one stays, whichever it is. Rows with a null key stay
+    where no keyed row has their text, one of each text.
     """
-    dropped = staged(exact_copies(docs, text, key).where("not kept").select(F.col(key).alias("_dropped")), "dropped")
-    return docs.join(dropped, F.col(key) == F.col("_dropped"), "left_anti")
+    name, id_, digest = (unused(docs, n) for n in ("_digest", "_key", "_sha"))
+    report = staged(exact_copies(docs, text, key), "copies")
+    # Keys say which rows go, so a keyless copy and a key with several texts are settled by digests.
+    odd = report.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1).select(key)
+    odd = staged(odd.unionByName(report.where(F.col(key).isNull()).select(key).limit(1)).distinct(), "odd")
+    plain = without(docs, report.where("not kept").select(key).unionByName(odd), key)
+    if odd.isEmpty():
+        return plain
+    keys = odd.withColumnRenamed(key, id_)
+    rows = docs.join(keys, F.col(key).eqNullSafe(F.col(id_)), "left_semi").withColumn(name, F.sha2(whole_text(text), 256))
+    kept = report.where("kept").select(F.col(key).alias(id_), F.col("text_sha256").alias(digest)).distinct()
+    same = F.col(key).eqNullSafe(F.col(id_)) & (F.col(name) == F.col(digest))
+    settled = rows.join(kept, same, "left_semi").dropDuplicates([key, name]).drop(name)
+    return plain.unionByName(settled)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import held_out
+from footfall.llm.shared import held_out, unused, whole_text
 
 #: N-gram lengths, bits of the hash, rows learned from per language (about), and what is accepted.
 LENGTHS = (1, 2, 3)
@@ -158,21 +158,17 @@ def identify(docs: DataFrame) -> DataFrame:
     likely languages the first by code point is taken. Repeated rows get the same answer; an
     empty table stays empty.
     """
-    model = learn(docs)
+    model, found = learn(docs), unused(docs, "_found")
     return (
         docs.withColumn("held_out", held_out(4))
-        .withColumn("_found", predict(docs, F.coalesce("text", F.lit("")), *model))
-        .withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")})
-        .drop("_found")
+        .withColumn(found, predict(docs, whole_text(), *model))
+        .withColumns({"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")})
+        .drop(found)
     )
 
 
 def accepted(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """The rows whose language is recognised with at least ``sure``, with their columns as they came."""
-    model = learn(docs)
-    found = predict(docs, F.coalesce("text", F.lit("")), *model)
-    return (
-        docs.withColumn("_found", found)
-        .where((F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= sure))
-        .drop("_found")
-    )
+    model, found = learn(docs), unused(docs, "_found")
+    rows = docs.withColumn(found, predict(docs, whole_text(), *model))
+    return rows.where((F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= sure)).drop(found)

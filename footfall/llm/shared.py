@@ -42,3 +42,21 @@ def ascii_lower(column: Column) -> Column:
 def held_out(modulus: int, column: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves remainder 2; an unknown id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus == 2
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not among ``keys`` (one column), with all their columns.
+
+    The keys are written first, so Spark knows their size when it chooses the join.
+    """
+    name = unused(docs, "_gone")
+    gone = staged(keys.select(F.col(keys.columns[0]).alias(name)).distinct(), "gone")
+    return docs.join(gone, F.col(key).eqNullSafe(F.col(name)), "left_anti")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.shared import ascii_lower
+from footfall.llm.shared import ascii_lower, unused
 
 MAX_RULES = 100_000
 _NO_TOKEN = ""
@@ -118,30 +118,31 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule] = RULES, url: str = "url"
     cells = build_index(rules, _rarest(pages, rules, place))
     index = F.from_json(F.lit(json.dumps(cells)), _CELL)
     at = lambda token: (F.crc32(token.cast("binary")) % len(cells)).cast("int")
+    place_, fetched_, fits_, named_ = (unused(pages, n) for n in ("_place", "_fetched", "_fits", "_named"))
     fetched = F.flatten(
-        F.transform(_tokens(F.col("_place")), lambda t: F.filter(F.get(index, at(t)), lambda r: r["token"] == t))
+        F.transform(_tokens(F.col(place_)), lambda t: F.filter(F.get(index, at(t)), lambda r: r["token"] == t))
     )
-    fits = F.filter(F.col("_fetched"), lambda r: F.rlike("_place", r["regex"]))
+    fits = F.filter(F.col(fetched_), lambda r: F.rlike(place_, r["regex"]))
     named = F.array_max(
         F.transform(
-            F.filter(F.col("_fits"), lambda r: r["name"].isNotNull()),
+            F.filter(F.col(fits_), lambda r: r["name"].isNotNull()),
             lambda r: F.struct(r["size"].alias("size"), r["name"].alias("name"), r["action"].alias("action")),
         )
     )
-    patterns = lambda action: F.exists("_fits", lambda r: r["name"].isNull() & (r["action"] == action))
+    patterns = lambda action: F.exists(fits_, lambda r: r["name"].isNull() & (r["action"] == action))
     return (
         pages.withColumns({"host": host, "path": path})
-        .withColumn("_place", F.concat("host", "path"))
-        .withColumn("_fetched", fetched)
-        .withColumn("_fits", fits)
-        .withColumn("_named", named)
-        .withColumn("rule", F.col("_named.name"))
+        .withColumn(place_, F.concat("host", "path"))
+        .withColumn(fetched_, fetched)
+        .withColumn(fits_, fits)
+        .withColumn(named_, named)
+        .withColumn("rule", F.col(f"{named_}.name"))
         .withColumn(
             "verdict",
             F.coalesce(
-                F.col("_named.action"),
+                F.col(f"{named_}.action"),
                 F.when(patterns("block") & ~patterns("allow"), F.lit("block")).otherwise(F.lit("allow")),
             ),
         )
-        .drop("_place", "_fetched", "_fits", "_named")
+        .drop(place_, fetched_, fits_, named_)
     )
