@@ -10,12 +10,15 @@ All that meets is decided on full shingle sets:
 
 1. Documents with the same set are one class; only its first goes on.
 2. Half keys that occur once can't meet, so tables are built from the others alone.
-3. In each bucket all members are compared with its first one (a star, not all pairs).
-   Links that hold are joined into components.
-4. Buckets that still hold more than one component are gone through pair by pair, in
-   blocks, inside numpy: pairs of different components whose lengths and minhashes allow
-   a link come out, and are compared too. So no bucket's pairs are written out, and no
-   pair that met stays undecided.
+3. The star of a bucket is its member that meets most others over all tables: of edited
+   copies the one they were made from. All members are compared with their stars, and links
+   that hold are joined into components.
+4. Members that met share a star. Stars whose members are still in several components are
+   gone through pair by pair, in blocks, inside numpy and on full sets; only links come out.
+   So no pairs of a group are written out, and no pair that met stays undecided.
+
+A sketch is a one-permutation minhash of the set: one pass puts the least shingle of each of
+``BINS`` bins into a byte. It only spares comparisons that can't succeed.
 """
 
 from __future__ import annotations
@@ -23,26 +26,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.shared import staged
+from footfall.llm.shared import staged, without
 from footfall.llm.words import mixed, shingles, word_blocks
 
 WORDS = 5
 PERCENT = 75
 SIDE = 12
 HALF = 2
-#: Minhashes that must agree before sets are compared: six standard deviations below what 0.75 gives.
-AGREE = 18
-#: Members of a bucket that are compared with each other in one task.
-BLOCK = 1024
+#: Bins of a sketch, and by how many standard deviations a similarity of 0.75 may be underestimated.
+BINS = 256
+DEVIATIONS = 4.0
+#: Shingles of a block of one star's members (about); two blocks are compared in one task.
+BLOCK = 1 << 20
 
 _HASHES = 2 * SIDE * HALF
 _SEEDS = np.random.RandomState(23).randint(1, 1 << 62, (2, _HASHES)).astype(np.uint64)
-_SIGNED = "id long, n_shingles long, print1 long, print2 long, signature binary, halves array<long>"
+_SIGNED = "id long, n_shingles long, print1 long, print2 long, sketch binary, halves array<long>"
 
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -70,6 +75,22 @@ def _signed(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _sketch(values: np.ndarray) -> bytes:
+    """The least shingle of each bin in one byte, 0 for an empty bin; ``values`` are sorted."""
+    spread = values[::-1]  # the least comes last and stays
+    bins = np.zeros(BINS, np.uint8)
+    bins[(spread & np.uint64(BINS - 1)).astype(np.intp)] = (spread >> np.uint64(8)) % np.uint64(255) + np.uint64(1)
+    return bins.tobytes()
+
+
+def _alike(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether sketches (rows of bins) allow a similarity of 0.75."""
+    filled = ((first > 0) | (second > 0)).sum(axis=-1)
+    equal = ((first == second) & (first > 0)).sum(axis=-1)
+    limit = PERCENT / 100
+    return equal >= limit * filled - DEVIATIONS * np.sqrt(limit * (1 - limit) * filled)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _SIGNED.split(", ")]
 
@@ -84,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([len(s) for s in sets], pa.int64()),
             total(1),
             total(2),
-            pa.array([signatures[place[i]].tobytes() if i in place else None for i in range(len(sets))], pa.binary()),
+            pa.array([_sketch(s) for s in sets], pa.binary()),
             pa.array([halves[place[i]] if i in place else None for i in range(len(sets))], pa.list_(pa.int64())),
         ]
         return pa.record_batch(columns, names=names)
@@ -122,13 +143,8 @@ def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
 
 
-def _meet(first: Column, second: Column) -> Column:
-    """Key of the table that a half of each collection makes."""
-    return F.xxhash64(first, second)
-
-
-def _buckets(signed: DataFrame) -> DataFrame:
-    """``bucket``, ``id`` of all buckets with more than one member."""
+def _stars(signed: DataFrame) -> DataFrame:
+    """``id``, ``star``: the members of all buckets that have more than one, with the bucket's star, each pair once."""
     halves = signed.select("id", F.posexplode("halves").alias("half", "value"))
     again = halves.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
     # One key per collection must occur again; what is left of a document's halves is folded into two lists.
@@ -140,82 +156,86 @@ def _buckets(signed: DataFrame) -> DataFrame:
             F.collect_list(F.when(F.col("half") >= SIDE, F.col("value"))).alias("second"),
         )
     )
-    rows = lists.select("id", F.explode("first").alias("one"), "second").select(
-        "id", "one", F.explode("second").alias("two")
-    )
-    rows = staged(rows.select("id", _meet(F.col("one"), F.col("two")).alias("bucket")), "tables")
-    several = (
-        rows.groupBy("bucket")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        .where("low < high")
-        .select("bucket", F.col("low").alias("star"))
-    )
-    return rows.join(several, "bucket")
+    rows = lists.select("id", F.explode("first").alias("one"), "second").select("id", "one", F.explode("second").alias("two"))
+    rows = staged(rows.select("id", F.xxhash64("one", "two").alias("bucket")), "tables")  # half keys differ by place
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    rows = staged(rows.join(sizes, "bucket"), "members")
+    met = rows.groupBy("id").agg(F.sum("members").alias("met"))
+    best = rows.join(met, "id").groupBy("bucket").agg(F.max(F.struct(F.col("met"), (-F.col("id")).alias("id"))).alias("best"))
+    stars = rows.join(best.select("bucket", (-F.col("best.id")).alias("star")), "bucket")
+    return staged(stars.select("id", "star").distinct(), "stars")
 
 
-def _links(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a > b`` whose full sets are similar enough."""
-    side = lambda x: signed.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"sig_{x}"))
+def _allowed(first: Column, second: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def allowed(a: pd.Series, b: pd.Series) -> pd.Series:
+        read = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(len(s), BINS)
+        return pd.Series(_alike(read(a), read(b)), dtype=bool)
+
+    return allowed(first, second)
+
+
+def _star_links(stars: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a > b`` of a member and its star whose full sets are similar enough."""
+    pairs = stars.where("id <> star").select(F.greatest("id", "star").alias("a"), F.least("id", "star").alias("b")).distinct()
+    side = lambda x: signed.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     close = (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-        .where(_agreeing(F.col("sig_a"), F.col("sig_b")) >= AGREE)
+        .where(_allowed(F.col("sketch_a"), F.col("sketch_b")))
         .select("a", "b")
     )
-    close = staged(close, "close")
-    wanted = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-    sets = staged(docs.join(wanted, "id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>"), "sets")
-    sets = sets.dropDuplicates(["id"])
     named = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
-    both = close.join(named("a"), "a").join(named("b"), "b")
+    both = staged(close, "close").join(named("a"), "a").join(named("b"), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - shared
     return both.where(100 * shared >= PERCENT * union).select("a", "b")
 
 
-def _agreeing(first: Column, second: Column) -> Column:
-    @F.pandas_udf("int")
-    def agreeing(a, b):
-        import pandas as pd
-
-        read = lambda s: np.frombuffer(b"".join(s), np.uint32).reshape(len(s), -1)
-        return pd.Series((read(a) == read(b)).sum(axis=1), dtype="int32") if len(a) else pd.Series([], dtype="int32")
-
-    return agreeing(first, second)
-
-
 def _across(group: pa.Table) -> pa.Table:
-    """Pairs of different components in one block pair of a bucket that lengths and minhashes allow."""
+    """Links between different components in two blocks of a star's members (or one with itself)."""
     read = lambda name: group.column(name).to_numpy()
-    ids, parts, sizes, sides = read("id"), read("part"), read("n_shingles"), read("side")
-    signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(len(ids), -1)
-    out_a, out_b = [], []
-    same = bool((sides == 2).any())
-    rows, columns = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(sides == 0), np.flatnonzero(sides == 1))
-    for r in rows:
-        others = columns[(parts[columns] != parts[r]) & ((columns > r) if same else True)]
-        low, high = np.minimum(sizes[others], sizes[r]), np.maximum(sizes[others], sizes[r])
-        others = others[100 * low >= PERCENT * high]
-        others = others[(signatures[others] == signatures[r]).sum(axis=1) >= AGREE]
-        out_a += np.maximum(ids[others], ids[r]).tolist()
-        out_b += np.minimum(ids[others], ids[r]).tolist()
-    return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-
-def _left_over(buckets: DataFrame, parts: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs ``a > b`` of buckets that hold several components."""
-    rows = buckets.join(parts.select(F.col("a").alias("id"), F.col("b").alias("low")), "id", "left").select(
-        "bucket", "id", F.coalesce("low", "id").alias("part")
-    )
-    mixed_ = (
-        rows.groupBy("bucket")
-        .agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("members"))
+    ids, parts, sides = read("id"), read("part"), read("side")
+    lists = group.column("shingles").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    starts = np.cumsum(sizes) - sizes
+    _, values = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    alone = bool((sides == 2).any())
+    rows, others = (np.arange(len(ids)),) * 2 if alone else (np.flatnonzero(sides == 0), np.flatnonzero(sides == 1))
+    found: list[tuple[int, int]] = []
+    if len(rows) and len(others):
+        # Of one block, the rows of its largest component need no search of their own.
+        names, counts = np.unique(parts, return_counts=True)
+        searched = rows[parts[rows] != names[counts.argmax()]] if alone else rows
+        has = np.zeros(values.max() + 1, bool)
+        for r in searched:
+            own = values[starts[r] : starts[r] + sizes[r]]
+            low, high = np.minimum(sizes[others], sizes[r]), np.maximum(sizes[others], sizes[r])
+            able = others[(parts[others] != parts[r]) & (100 * low >= PERCENT * high)]
+            if not len(able):
+                continue
+            has[own] = True
+            shared = np.add.reduceat(has[values], starts, dtype=np.int64)[able]
+            has[own] = False
+            linked = able[100 * shared >= PERCENT * (sizes[able] + sizes[r] - shared)]
+            found += [(max(ids[r], x), min(ids[r], x)) for x in ids[linked].tolist()]
+    found = sorted(set(found))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _left_over(stars: DataFrame, parts: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a > b`` between members of one star that are in different components."""
+    members = stars.unionByName(stars.select(F.col("star").alias("id"), "star")).distinct()
+    rows = members.join(parts.select(F.col("a").alias("id"), F.col("b").alias("low")), "id", "left")
+    rows = rows.select("star", "id", F.coalesce("low", "id").alias("part")).join(signed.select("id", "n_shingles"), "id")
+    several = (
+        rows.groupBy("star")
+        .agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.sum("n_shingles").alias("shingled"))
         .where("p0 < p1")
-        .select("bucket", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+        .select("star", F.ceil(F.col("shingled") / BLOCK).alias("blocks"))
     )
-    rows = rows.join(mixed_, "bucket").join(signed.select("id", "n_shingles", "signature"), "id")
-    own = F.pmod(F.xxhash64("id"), "blocks")
+    rows = rows.join(several, "star").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
     # Block x meets every block y >= x: as side 0 where it is x, as side 1 where it is y, as 2 with itself.
     meets = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
@@ -225,8 +245,8 @@ def _left_over(buckets: DataFrame, parts: DataFrame, signed: DataFrame) -> DataF
             F.when(other == F.col("own"), 2).when(F.col("own") < other, 0).otherwise(1).alias("side"),
         ),
     )
-    dealt = rows.withColumn("own", own).select("bucket", "id", "part", "n_shingles", "signature", F.inline(meets))
-    return dealt.groupBy("bucket", "x", "y").applyInArrow(_across, "a long, b long").distinct()
+    dealt = rows.join(sets, "id").select("star", "id", "part", "shingles", F.inline(meets))
+    return dealt.groupBy("star", "x", "y").applyInArrow(_across, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -244,14 +264,16 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     prints = ["n_shingles", "print1", "print2"]
     classes = signed.where("n_shingles > 0").groupBy(*prints).agg(F.min("id").alias("first"))
     firsts = staged(
-        signed.join(classes, prints).where("id = first").dropDuplicates(["id"]).select("id", "n_shingles", "signature", "halves"),
+        signed.join(classes, prints).where("id = first").dropDuplicates(["id"]).select("id", "n_shingles", "sketch", "halves"),
         "firsts",
     )
-    buckets = staged(_buckets(firsts), "buckets")
+    stars = _stars(firsts)
     firsts = firsts.drop("halves")
-    stars = buckets.where("id > star").select(F.col("id").alias("a"), F.col("star").alias("b")).distinct()
-    links = components(_links(stars, firsts, rows))
-    more = _links(_left_over(buckets, links, firsts), firsts, rows)
+    wanted = stars.select("id").union(stars.select(F.col("star").alias("id"))).distinct()
+    sets = rows.join(wanted, "id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>").dropDuplicates(["id"])
+    sets = staged(sets, "sets")
+    links = components(_star_links(stars, firsts, sets))
+    more = _left_over(stars, links, firsts, sets)
     links = components(links.unionByName(more)).withColumnsRenamed({"a": "node", "b": "low"})
     # A key whose rows differ in text is one node, so all of its classes meet.
     known = classes.join(links, F.col("first") == F.col("node"), "left").select(*prints, F.coalesce("low", "first").alias("low"))
@@ -263,6 +285,5 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
 
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows that stay (the smallest key of each component), with all their columns."""
-    dropped = staged(near_copies(docs, text, key).where("not kept").select(F.col(key).alias("_dropped")), "dropped")
-    return docs.join(dropped, F.col(key) == F.col("_dropped"), "left_anti")
+    """The rows that stay (the smallest key of each component), with all their columns; keys are unique."""
+    return without(docs, near_copies(docs, text, key).where("not kept").select(key), key)
