@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from footfall import schema as S
 from footfall.functions import text, times, versions
-from footfall.operators.joins import attach, salted_join
+from footfall.sources.lookups import link_lookup, lookup_first_wins, phone_lookup, qr_lookup, scene_lookup
 
-# Columns that differ between records of one key; they spread a hot key over tasks.
-SPREAD = ["att", "et"]
+# Lookups are folded to one row per key and joined plainly. Spark broadcasts a side by its size at
+# run time, and splits a hot key of the log where it does not.
 
 
 def add_scene_group(log: DataFrame, scenes: DataFrame) -> DataFrame:
     """(te, scene) -> scene group; blank is unknown, unmatched is "other" for scene and group."""
-    side = scenes.select("te", F.col("scene_id").alias("scene"), F.col("scene_group_id").alias("_group"))
-    joined = attach(log.withColumn("scene", F.trim("scene")), side, ["te", "scene"], SPREAD)
+    side = scene_lookup(scenes.select("te", "scene_id", "scene_group_id")).select(
+        "te", F.col("scene_id").alias("scene"), F.col("scene_group_id").alias("_group")
+    )
+    joined = log.withColumn("scene", F.trim("scene")).join(side, ["te", "scene"], "left")
     blank = ~text.present(F.col("scene"))
     known = F.col("_group").isNotNull()
     return joined.withColumns(
@@ -27,37 +29,33 @@ def add_scene_group(log: DataFrame, scenes: DataFrame) -> DataFrame:
     ).drop("_group")
 
 
-def add_qr_group(log: DataFrame, codes: DataFrame) -> DataFrame:
-    """(ak, qr) -> group; records of unknown codes go, a blank group is "other"."""
-    side = codes.select(
+def _qr_groups(codes: DataFrame) -> DataFrame:
+    return qr_lookup(codes.select("app_key", "qr_key", "qr_group_key")).select(
         F.col("app_key").alias("ak"), F.col("qr_key").alias("qr"), F.col("qr_group_key").alias("_group")
     )
-    joined = attach(log.withColumn("qr", F.trim("qr")), side, ["ak", "qr"], SPREAD, "inner")
+
+
+def add_qr_group(log: DataFrame, codes: DataFrame) -> DataFrame:
+    """(ak, qr) -> group; records of unknown codes go, a blank group is "other"."""
+    joined = log.withColumn("qr", F.trim("qr")).join(_qr_groups(codes), ["ak", "qr"])
     return joined.withColumn("qr_group", text.or_default(F.col("_group"), S.OTHER)).drop("_group")
 
 
 def add_qr_group_or_other(log: DataFrame, codes: DataFrame) -> DataFrame:
     """The fact-table form: unknown codes stay, as "other"."""
-    side = codes.select(
-        F.col("app_key").alias("ak"), F.col("qr_key").alias("qr"), F.col("qr_group_key").alias("_group")
-    )
-    joined = attach(log.withColumn("qr", F.trim("qr")), side, ["ak", "qr"], SPREAD)
+    joined = log.withColumn("qr", F.trim("qr")).join(_qr_groups(codes), ["ak", "qr"], "left")
     return joined.withColumn("qr_group", text.or_default(F.col("_group"), S.OTHER)).drop("_group")
 
 
-def live_links(links: DataFrame) -> DataFrame:
-    return links.filter(F.col("is_del").cast("int") == 0)
-
-
 def add_media(log: DataFrame, links: DataFrame, by_app: bool = True, how: str = "inner") -> DataFrame:
     """Link key -> media id. The default keys on (app, link) and drops unknown links."""
     keys = ["ak", "link_key"] if by_app else ["link_key"]
-    side = live_links(links).select(
+    side = link_lookup(links.select("app_key", "link_key", "media_id", "is_del")).select(
         F.col("app_key").alias("ak"), "link_key", F.col("media_id").cast("string").alias("_media")
     )
     if not by_app:
         side = side.groupBy("link_key").agg(F.min("_media").alias("_media"))
-    joined = attach(log.withColumn("link_key", F.trim("link_key")), side, keys, SPREAD, how)
+    joined = log.withColumn("link_key", F.trim("link_key")).join(side, keys, how)
     return joined.withColumn("media_id", F.col("_media")).drop("_media")
 
 
@@ -71,13 +69,14 @@ def add_position(log: DataFrame) -> DataFrame:
 
 def add_activity_channel(log: DataFrame, links: DataFrame, media: DataFrame) -> DataFrame:
     """Link -> activity and channel names. Records of unknown links go."""
-    link_side = live_links(links).select(
+    link_side = link_lookup(links.select("app_key", "link_key", "media_id", "link_name", "is_del")).select(
         F.col("app_key").alias("ak"), "link_key",
         F.col("media_id").cast("string").alias("_media"), F.col("link_name").alias("_name"),
     )
-    media_side = media.select(F.col("media_id").cast("string").alias("_media"), F.col("media_name").alias("_channel"))
-    joined = attach(log, link_side, ["ak", "link_key"], SPREAD, "inner")
-    joined = attach(joined, media_side, ["_media"], SPREAD)
+    media_side = lookup_first_wins([media.select("media_id", "media_name")], ["media_id"]).select(
+        F.col("media_id").cast("string").alias("_media"), F.col("media_name").alias("_channel")
+    )
+    joined = log.join(link_side, ["ak", "link_key"]).join(media_side, "_media", "left")
     return joined.withColumns(
         {
             "activity": text.or_default(F.col("_name"), S.UNKNOWN_ACTIVITY),
@@ -88,8 +87,10 @@ def add_activity_channel(log: DataFrame, links: DataFrame, media: DataFrame) ->
 
 def add_phone(log: DataFrame, phones: DataFrame) -> DataFrame:
     """Device string -> brand and model."""
-    side = phones.select(F.col("uname").alias("pm"), F.col("brand").alias("_brand"), F.col("name").alias("_model"))
-    joined = attach(log.withColumn("pm", F.trim("pm")), side, ["pm"], SPREAD)
+    side = phone_lookup(phones.select("uname", "brand", "name")).select(
+        F.col("uname").alias("pm"), F.col("brand").alias("_brand"), F.col("name").alias("_model")
+    )
+    joined = log.withColumn("pm", F.trim("pm")).join(side, "pm", "left")
     return joined.withColumns(
         {
             "brand": text.or_default(F.col("_brand"), S.UNKNOWN),
@@ -133,14 +134,14 @@ def propagate_new_user(log: DataFrame, old_sdk_only: bool = True) -> DataFrame:
     """Mark every record of a session as new when one of its records is.
 
     The reports do not need this per record: they attach the marks after sessions are
-    reduced. Here the marks join is salted, as one session may hold much of the log.
+    reduced. Spark splits a session that holds much of the log.
     """
     marks = (
         new_session_marks(log)
         if old_sdk_only
         else log.filter((F.col("ifo") == "true") & F.col("day").isNotNull()).select("day", "att").distinct()
     )
-    joined = salted_join(log, marks.withColumn("_new", F.lit(True)), ["day", "att"], ["et", "pp", "ev"], "left")
+    joined = log.join(marks.withColumn("_new", F.lit(True)), ["day", "att"], "left")
     return joined.withColumn("ifo", F.when(F.col("_new"), "true").otherwise(F.col("ifo"))).drop("_new")
 
 
@@ -148,7 +149,7 @@ def propagate_openid(log: DataFrame) -> DataFrame:
     """Give records without an open id the (smallest) open id of their session."""
     known = log.filter((F.col("op") != S.NO_OPENID) & text.present(F.col("op")))
     side = known.groupBy("day", "att").agg(F.min("op").alias("_op"))
-    joined = salted_join(log, side, ["day", "att"], ["et", "pp", "ev"], "left")
+    joined = log.join(side, ["day", "att"], "left")
     has_own = text.present(F.col("op")) & (F.col("op") != S.NO_OPENID)
     return joined.withColumn(
         "op", F.when(has_own, F.col("op")).otherwise(F.coalesce("_op", F.lit(S.NO_OPENID)))
@@ -159,8 +160,8 @@ def route(results: DataFrame, release: DataFrame, all_online: bool = False) -> D
     """``prod`` or ``grey`` per row: everything is prod once online, else apps with status 1."""
     if all_online:
         return results.withColumn("route", F.lit("prod"))
-    side = release.select("ak", F.col("online_status").cast("string").alias("_status"))
-    joined = attach(results, side, ["ak"], results.columns)
+    side = lookup_first_wins([release.select("ak", "online_status")], ["ak"]).select("ak", F.col("online_status").cast("string").alias("_status"))
+    joined = results.join(side, "ak", "left")
     return joined.withColumn("route", F.when(F.col("_status") == "1", "prod").otherwise("grey")).drop("_status")
 
 

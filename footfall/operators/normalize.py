@@ -34,7 +34,8 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] =
 def count_rejects(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines read and lines rejected, for monitoring a source."""
     parsed = lines.select(_parsed(value).alias("r"))
-    bad = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()
+    empty = F.coalesce(*[F.col(f"r.{f}") for f in S.RAW_FIELDS]).isNull()
+    bad = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull() | empty
     return parsed.agg(F.count("*").alias("lines"), F.count_if(bad).alias("rejected"))
 
 
@@ -125,16 +126,17 @@ def _event_millis(ingest_ms: str | None) -> Column:
 def _stay_seconds() -> Column:
     """New SDKs send milliseconds, old ones seconds.
 
-    A missing value, or an unreadable one of an old SDK, gets 10 to 59 s derived from
-    the row itself, so a rerun gives the same total. An unreadable one of a new SDK is 0.
+    A missing value, a negative one, or an unreadable one of an old SDK gets 10 to 59 s
+    derived from the row itself, so a rerun gives the same total. An unreadable one of a new SDK is 0.
     """
     dr = F.col("dr")
     number = dr.try_cast("long")
     key = F.concat_ws("|", F.coalesce("ak", F.lit("")), F.coalesce("at", F.lit("")), F.coalesce(F.col("et").cast("string"), F.lit("")))
     filler = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 50 + 10
+    seconds = F.coalesce(F.call_function("div", number, F.lit(1000).cast("long")), F.lit(0).cast("long"))
     return (
         F.when(dr.isNull(), filler)
-        .when(~versions.is_old_sdk(F.col("v")), F.coalesce(F.call_function("div", number, F.lit(1000).cast("long")), F.lit(0).cast("long")))
+        .when(~versions.is_old_sdk(F.col("v")), F.when(seconds < 0, filler).otherwise(seconds))
         .when(text.is_integer(dr) & number.isNotNull(), number)
         .otherwise(filler)
     )

@@ -10,6 +10,7 @@ from footfall.operators import enrich, filters, first_seen
 from footfall.schema import RETENTION_DAYS
 
 DEFAULT = "default"
+MOST_DAYS = 62
 DIMENSIONS = ("link_key", "media_id", "position_id")
 _COLUMNS = ("ak", "op", "day", "et", "event_id", "att", "ifo", "link_key", "media_id", "scene", "pp")
 
@@ -54,10 +55,12 @@ def return_days(base: DataFrame, days_after: int = RETENTION_DAYS) -> DataFrame:
     A visit on day d answers for the cohorts of d, d-1 ... d-7, so each visit gives eight
     small rows that fold into masks on the map side; no range join.
     """
+    if not 0 <= days_after <= MOST_DAYS:
+        raise ValueError(f"days_after must be 0 to {MOST_DAYS}, as a mask has that many bits")
     offset = F.explode(F.sequence(F.lit(0), F.lit(days_after))).alias("n")
     return (
         base.select("day", "ak", "op", offset)
-        .select(times.shift_day(F.col("day"), -F.col("n")).alias("day"), "ak", "op", F.expr("shiftleft(1, n)").alias("bit"))
+        .select(times.shift_day(F.col("day"), -F.col("n")).alias("day"), "ak", "op", F.expr("shiftleft(1L, n)").alias("bit"))
         .groupBy("day", "ak", "op")
         .agg(F.bit_or("bit").alias("mask"))
     )
@@ -74,7 +77,7 @@ def retention(log: DataFrame, links: DataFrame, stat_days: DataFrame | None = No
     base = base_users(log)
     members = cohort_members(cohort_visits(log, links, state))
     joined = members.join(return_days(base, days_after), ["day", "ak", "op"], "left")
-    came = [F.coalesce(F.getbit(F.col("mask").cast("int"), F.lit(n)), F.lit(0)).cast("int") for n in range(days_after + 1)]
+    came = [F.coalesce(F.getbit(F.col("mask"), F.lit(n)), F.lit(0)).cast("int") for n in range(days_after + 1)]
     sizes = joined.groupBy("day", "ak", "dimension", "dimension_value").agg(
         F.count("*").alias("visitor_count"),
         F.sum("is_new").alias("new_visitor_count"),

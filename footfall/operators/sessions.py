@@ -37,9 +37,25 @@ def session_pages(log: DataFrame, dims: list[str]) -> DataFrame:
 
 def sessionize(log: DataFrame, dims: list[str]) -> DataFrame:
     """One row per (dims, att): pages, views, times, stay (longest reported), new flag, first page."""
+    return of_pages(session_pages(log, dims), dims)
+
+
+def merge_pages(pages: DataFrame) -> DataFrame:
+    """Visited pages of several batches as those of one."""
+    keys = [c for c in pages.columns if c not in ("pv", "page_start", "page_end", "stay", "is_new")]
+    return pages.groupBy(*keys).agg(
+        F.sum("pv").alias("pv"),
+        F.min("page_start").alias("page_start"),
+        F.max("page_end").alias("page_end"),
+        F.max("stay").alias("stay"),
+        F.max("is_new").alias("is_new"),
+    )
+
+
+def of_pages(pages: DataFrame, dims: list[str]) -> DataFrame:
+    """Sessions from their visited pages."""
     return (
-        session_pages(log, dims)
-        .groupBy(*dims, "att")
+        pages.groupBy(*dims, "att")
         .agg(
             F.max("is_new").alias("is_new"),
             F.count("pp").alias("pages"),
@@ -66,7 +82,11 @@ def session_sums(sessions: DataFrame, dims: list[str]) -> DataFrame:
 
 def entry_page_totals(log: DataFrame) -> DataFrame:
     """Sessions attributed to their first page."""
-    sessions = sessionize(log, ["ak", "day"])
+    return entry_totals_of(session_pages(log, ["ak", "day"]))
+
+
+def entry_totals_of(pages: DataFrame) -> DataFrame:
+    sessions = of_pages(pages, ["ak", "day"])
     return entry_ratios(
         sessions.groupBy("ak", "day", F.col("first_page").alias("page_path")).agg(
             F.count("*").alias("entry_page_count"),

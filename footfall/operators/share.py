@@ -10,12 +10,11 @@ from footfall.operators.traffic import BASE, add_ratios
 SHARER, SESSION, RETURNER = "sharer", "session", "returner"
 
 
-def share_totals(records: DataFrame, dims: list[str], marks: DataFrame | None = None) -> DataFrame:
-    """Shares, sharers, return sessions, returning users and new sessions per (ak, day, dims).
+_MEASURES = ("n", "is_new")
 
-    Shares and return visits land in the same groups, so a group that has only one of
-    them gets zeros for the other without an outer join.
-    """
+
+def share_partials(records: DataFrame, dims: list[str]) -> DataFrame:
+    """One row per group and identity: what the totals are made of. Partials of parts of a log merge."""
     group = [*BASE, *dims]
     click = F.col("share_kind") == "click"
     kinds = F.when(click, F.array(F.lit(SESSION), F.lit(RETURNER))).otherwise(F.array(F.lit(SHARER)))
@@ -25,7 +24,27 @@ def share_totals(records: DataFrame, dims: list[str], marks: DataFrame | None =
         F.when(F.col("kind") == SESSION, F.col("att")).otherwise(F.col("uu")).alias("id"),
         (F.col("ifo") == "true").cast("int").alias("is_new"),
     )
-    ids = entries.groupBy(*group, "kind", "id").agg(F.count("*").alias("n"), F.max("is_new").alias("is_new"))
+    return entries.groupBy(*group, "kind", "id").agg(F.count("*").alias("n"), F.max("is_new").alias("is_new"))
+
+
+def merge_share(partials: DataFrame) -> DataFrame:
+    """Partials of several batches as those of one."""
+    keys = [c for c in partials.columns if c not in _MEASURES]
+    return partials.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("is_new").alias("is_new"))
+
+
+def share_totals(records: DataFrame, dims: list[str], marks: DataFrame | None = None) -> DataFrame:
+    """Shares, sharers, return sessions, returning users and new sessions per (ak, day, dims).
+
+    Shares and return visits land in the same groups, so a group that has only one of
+    them gets zeros for the other without an outer join.
+    """
+    return finish_share(share_partials(records, dims), marks)
+
+
+def finish_share(ids: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """Totals from merged partials."""
+    group = [c for c in ids.columns if c not in (*_MEASURES, "kind", "id")]
     if marks is not None:
         side = marks.select("day", F.col("att").alias("id"), F.lit(SESSION).alias("kind"), F.lit(1).alias("_mark"))
         ids = ids.join(side, ["day", "kind", "id"], "left").withColumn("is_new", F.greatest("is_new", "_mark"))

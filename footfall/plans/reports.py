@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from footfall import schema as S
 from footfall.functions import text, times, versions
 from footfall.operators import enrich, filters, first_seen, metrics, rollup, sessions, share
-from footfall.operators.joins import salted_join
 from footfall.operators.traffic import BASE, add_ratios, level_name, totals_of, traffic_partials
 from footfall.plans.specs import ALL_RATIOS, JOBS, REPORTS, TERMINAL, TERMINAL_DIMS, VISIT_RATIOS, ReportSpec
 
 
 @dataclass(frozen=True)
 class Lookups:
-    """Side tables, one row per key (see ``sources.lookups``); a report reads those it needs."""
+    """Side tables; a report reads those it needs, folded to one row per key (``sources.lookups``)."""
 
     scenes: DataFrame | None = None
     qr_codes: DataFrame | None = None
@@ -84,13 +83,16 @@ def _with_authorisations(rows: DataFrame, log: DataFrame, auth_state: DataFrame
     firsts = first_seen.first_seen(first_seen.auth_records(rows), auth_state, first_seen.AUTH, strict=strict)
     anonymous = rows.filter(~filters.has_openid() & filters.is_authorised())
     marks = enrich.new_session_marks(log).withColumn("_new", F.lit(True))
-    marked = salted_join(anonymous, marks, ["day", "att"], ["et", "uu", "pp"], "left").filter((F.col("ifo") == "true") | F.col("_new"))
+    marked = anonymous.join(marks, ["day", "att"], "left").filter((F.col("ifo") == "true") | F.col("_new"))
     result = first_seen.with_first_auth(first_seen.counted(rows), firsts)
     return first_seen.append_marks(result, marked.drop("_new").select(*rows.columns), _auth_id=F.col("uu"))
 
 
-def report(name: str, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None) -> DataFrame:
+def report(name: str, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None,
+           openid_of_session: bool = False) -> DataFrame:
+    """A report by name. ``openid_of_session`` first gives records without an open id that of their session."""
     spec = REPORTS.get(name) or JOBS[name]
+    log = enrich.propagate_openid(log) if openid_of_session else log
     result = run(spec, log, lookups, auth_state)
     if name == "hourly_trend":
         result = result.withColumn("avg_refresh_count", F.lit(0))
@@ -106,14 +108,17 @@ def share_summary(log: DataFrame, by_hour: bool = False) -> DataFrame:
 
 
 def page_share(log: DataFrame) -> DataFrame:
-    """By page and utm source; the source is cut to the 255 characters its column holds.
+    """By page and utm source, whole: a sink whose column is narrower cuts what it shows, not what is counted."""
+    return share.share_totals(page_share_records(log), PAGE_SHARE, enrich.new_session_marks(log))
 
-    Cut before grouping, so that two long sources with one beginning are one row.
-    """
-    rows = filters.share_records(log).withColumns(
-        {"source": F.substring("ct_utm_s", 1, 255), "paras": F.col("ct_utm_p"), "page_uri": F.col("path")}
+
+PAGE_SHARE = ["te", "page_uri", "source", "paras"]
+
+
+def page_share_records(log: DataFrame) -> DataFrame:
+    return filters.share_records(log).withColumns(
+        {"source": F.col("ct_utm_s"), "paras": F.col("ct_utm_p"), "page_uri": F.col("path")}
     )
-    return share.share_totals(rows, ["te", "page_uri", "source", "paras"], enrich.new_session_marks(log))
 
 
 def user_share(log: DataFrame) -> DataFrame:
@@ -201,8 +206,14 @@ def ad_home(log: DataFrame, links: DataFrame, by_hour: bool = False, new_state:
 
 def terminal(log: DataFrame) -> DataFrame:
     """Seven device dimensions stacked as (type, type_value)."""
-    rows = log.withColumn("ww_wh", F.concat_ws("*", "ww", "wh"))
-    stacked = run(TERMINAL, rows)
+    return stack_terminal(run(TERMINAL, terminal_rows(log)))
+
+
+def terminal_rows(log: DataFrame) -> DataFrame:
+    return log.withColumn("ww_wh", F.concat_ws("*", "ww", "wh"))
+
+
+def stack_terminal(stacked: DataFrame) -> DataFrame:
     value = F.lit(None).cast("string")
     for dim in TERMINAL_DIMS:
         value = F.when(F.col("level") == level_name((dim,)), F.col(dim)).otherwise(value)
@@ -213,9 +224,12 @@ def terminal(log: DataFrame) -> DataFrame:
     )
 
 
+def entry_rows(log: DataFrame) -> DataFrame:
+    return filters.require(log, "entrance").filter((F.col("ev") == "page") & (F.col("pp") != "undefined"))
+
+
 def entry_pages(log: DataFrame) -> DataFrame:
-    rows = filters.require(log, "entrance").filter((F.col("ev") == "page") & (F.col("pp") != "undefined"))
-    return sessions.entry_page_totals(rows)
+    return sessions.entry_page_totals(entry_rows(log))
 
 
 def entry_app(log: DataFrame) -> DataFrame:

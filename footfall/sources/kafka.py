@@ -11,12 +11,15 @@ CHUNK_OFFSETS = 4_000_000
 
 
 def stream_options(servers: str, topic: str, starting: str | dict = "latest", max_offsets: int | None = None) -> dict[str, str]:
-    """Options of a stream. ``starting`` matters on the first start only; later the checkpoint says where to go on."""
+    """Options of a stream. ``starting`` matters on the first start only; later the checkpoint says where to go on.
+
+    Offsets that the topic no longer holds end the stream instead of being skipped.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting if isinstance(starting, str) else json.dumps(starting),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)

@@ -20,6 +20,8 @@ def lookup_first_wins(sources: list[DataFrame], keys: list[str]) -> DataFrame:
     numbered = [s.withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
     rows = reduce(DataFrame.unionByName, numbered)
     values = [c for c in sources[0].columns if c not in keys]
+    if not values:
+        return rows.select(*keys).distinct()
     best = F.min(F.struct("_source", *values)).alias("_best")
     return rows.groupBy(*keys).agg(best).select(*keys, *[f"_best.{v}" for v in values])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from footfall import schema as S
 from footfall.operators import cheat, first_seen, retention, rollup
 from footfall.operators.filters import has_openid
 from footfall.operators.traffic import level_name
@@ -112,23 +113,28 @@ def _auth_rollup(spark, sf):
 # -- state --------------------------------------------------------------------------
 
 _HALF = "20240116"
+# The state knows two thirds of the users: some from the first half, some from the job's own days.
+_KNOWS = "cast(substr(op, 2) as int) % 3"
 _STATE = f"""
- state as (select ak, op, min(et) as known from log where op <> 'useless_openid' and day < '{_HALF}' group by ak, op),
+ state as (select ak, op, min(et) as known from log where op <> 'useless_openid'
+           and ((day < '{_HALF}' and {_KNOWS} = 0) or (day >= '{_HALF}' and {_KNOWS} = 1)) group by ak, op),
  later as (select * from log where op <> 'useless_openid' and day >= '{_HALF}')"""
 
 
 def _split(spark, sf):
-    """State of the first half of the log, and the log of the second half."""
+    """State that knows some users, and the log of the second half."""
     known = log_of(spark, sf).filter(has_openid())
-    state = first_seen.update_state(None, known.filter(F.col("day") < _HALF))
+    kept = f"(day < '{_HALF}' and {_KNOWS} = 0) or (day >= '{_HALF}' and {_KNOWS} = 1)"
+    state = first_seen.update_state(None, known.filter(kept))
     return state, known.filter(F.col("day") >= _HALF)
 
 
 @query(
     "new_users_against_state",
     over_log(
-        "select ak, op, day, event_id from (select l.* from later l left join state s using (ak, op)"
-        f" where s.op is null) {_FIRST}",
+        "select l.ak, l.op, l.day, l.event_id from"
+        f" (select * from later {_FIRST}) l left join state s using (ak, op)"
+        " where s.op is null or s.known >= epoch_ms(strptime(l.day, '%Y%m%d'))",
         ctes=_STATE,
     ),
 )
@@ -153,7 +159,9 @@ def _new_users_strict(spark, sf):
 @query(
     "first_seen_state",
     over_log(
-        "select ak, op, 'new_user' as kind, min(et) as first_ts from log where op <> 'useless_openid' group by ak, op"
+        "select ak, op, 'new_user' as kind, min(ts) as first_ts from (select ak, op, known as ts from state"
+        " union all select ak, op, et from later) group by ak, op",
+        ctes=_STATE,
     ),
 )
 def _state(spark, sf):
@@ -266,13 +274,36 @@ query(
         " from visits group by all", "links", ctes=_COHORTS,
     ),
 )(lambda spark, sf: retention.cohort_visits(log_of(spark, sf), lookup(spark, "links")))
+
+
+def _suspicious_sql(threshold: int) -> str:
+    address = "ak, day, client_ip"
+    return (
+        f"select {address}, auth_count, uv from (select {address}, count(distinct op) as uv from visits group by {address})"
+        f" join (select {address}, count(distinct op) as auth_count from (select * from visits where img <> 'useless_img' {_FIRST})"
+        f" group by {address}) using ({address}) where auth_count > {threshold}"
+    )
+
+
 query(
     "suspicious_ips",
     over_log(
-        "select ak, client_ip, auth_count, uv from (select ak, client_ip, count(distinct op) as uv from visits"
-        " group by ak, client_ip) join (select ak, client_ip, count(distinct op) as auth_count from (select * from visits"
-        f" where img <> 'useless_img' {_FIRST}) group by ak, client_ip) using (ak, client_ip) where auth_count > 1",
+        _suspicious_sql(0),
         ctes=" visits as (select * from log where op <> 'useless_openid' and v >= '7.3.0')",
     ),
-)(lambda spark, sf: cheat.suspicious_ips(log_of(spark, sf), threshold=1))
+)(lambda spark, sf: cheat.suspicious_ips(log_of(spark, sf), threshold=0))
+
+# At the default threshold: all records come from one address, and each user goes by forty names.
+_MANY = "(select * exclude (op, client_ip), op || '-' || cast(event_id % 40 as varchar) as op, 'one' as client_ip from log) log"
+query(
+    "suspicious_ips_default",
+    over_log(
+        _suspicious_sql(S.CHEAT_THRESHOLD),
+        ctes=f" visits as (select * from {_MANY} where op not like 'useless_openid%' and v >= '7.3.0')",
+    ),
+)(lambda spark, sf: cheat.suspicious_ips(
+    log_of(spark, sf).filter(has_openid()).withColumns(
+        {"op": F.concat_ws("-", "op", (F.col("event_id") % 40).cast("string")), "client_ip": F.lit("one")}
+    )
+))
 

@@ -9,8 +9,10 @@ from footfall.functions import text, times, versions
 from footfall.operators import enrich, filters, metrics, rollup, sessions, share
 from footfall.operators.traffic import traffic_totals
 from footfall.sources import lookups as lookup_sources
-from footfall.workload.log import log_of, lookup, table
-from footfall.workload.oracle import NOT_APP_LEVEL, POSITION, SHARE_SCENES, ratio
+from footfall.plans import reports
+from footfall.plans.specs import REPORTS
+from footfall.workload.log import log_of, lookup, lookups_of, oracle_ctes, table
+from footfall.workload.oracle import NOT_APP_LEVEL, POSITION, SHARE_SCENES, ratio, traffic
 from footfall.workload.registry import over_log, query
 
 DIMS = ["ak", "te", "day"]
@@ -221,6 +223,18 @@ query(
         f" over (partition by day, att), 'useless_openid') end as op from (select event_id, day, att, {_PART_OP} as op from log)"
     ),
 )(lambda spark, sf: enrich.propagate_openid(log_of(spark, sf).withColumn("op", F.expr(_PART_OP))).select("event_id", "op"))
+query(
+    "link_expansion_of_sessions",
+    traffic(
+        REPORTS["link_expansion"],
+        f"{oracle_ctes('links').replace('log as (', 'whole as (', 1)},"
+        f" part as (select * replace ({_PART_OP} as op) from whole),"
+        " log as (select * replace (case when op <> 'useless_openid' then op else coalesce(min(nullif(op, 'useless_openid'))"
+        " over (partition by day, att), 'useless_openid') end as op) from part)",
+    ),
+)(lambda spark, sf: reports.report(
+    "link_expansion", log_of(spark, sf).withColumn("op", F.expr(_PART_OP)), lookups_of(spark), openid_of_session=True
+))
 query(
     "release_routes",
     over_log(
@@ -261,7 +275,7 @@ query("open_id_present", over_log("select event_id from log where op <> 'useless
 query(
     "sdk_flags",
     over_log(
-        "select event_id, v < '7.0.0' as old_sdk, true as proper, case when v = '6.9.9' then 1 else 0 end as third from log"
+        "select event_id, v < '7.0.0' as old_sdk, regexp_matches(v, '[0-9].[0-9].[0-9]') as proper, case when v = '6.9.9' then 1 else 0 end as third from log"
     ),
 )(lambda spark, sf: log_of(spark, sf).select(
     "event_id", versions.is_old_sdk(F.col("v")).alias("old_sdk"), versions.is_proper_sdk(F.col("v")).alias("proper"),
@@ -305,7 +319,7 @@ query(
         " epoch_ms(strptime(day, '%Y%m%d')) + 93600000 as expiry,"
         " cast(date_diff('day', strptime('20240101', '%Y%m%d'), strptime(day, '%Y%m%d')) as int) as age,"
         " (et // 1000) * 1000 as from_seconds, case when event_id % 5000 < 3000 then cast(0 as bigint) else event_id % 5000 end as clock,"
-        " true as inside from log"
+        " true as inside, epoch_ms(strptime(day || hour, '%Y%m%d%H')) as parsed from log"
     ),
 )(lambda spark, sf: log_of(spark, sf).select(
     "event_id",
@@ -319,7 +333,11 @@ query(
     times.to_millis(F.call_function("div", F.col("et"), F.lit(1000).cast("long"))).alias("from_seconds"),
     times.clock_difference(F.col("et") + F.col("event_id") % 5000, F.col("et")).alias("clock"),
     times.in_day(F.col("et"), F.col("day")).alias("inside"),
+    times.parse_millis(F.concat("day", "hour"), "yyyyMMddHH").alias("parsed"),
 ))
+query("key_hashes", over_log("select event_id, substr(md5(ak || chr(31) || uu), 1, 8) as hash from log"))(
+    lambda spark, sf: log_of(spark, sf).select("event_id", text.key_hash(F.col("ak"), F.col("uu")).alias("hash"))
+)
 query(
     "url_functions",
     "select page_id, string_split(url, '?')[1] as bare, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)) as host,"

@@ -9,7 +9,8 @@ from footfall import schema as S
 from footfall.operators import factlog
 from footfall.operators.normalize import count_rejects, normalize_log
 from footfall.workload.log import DUCKDB, KEYED, SPARK, log_of, lookups_of, table
-from footfall.workload.oracle import POSITION
+from footfall.plans.specs import REPORTS
+from footfall.workload.oracle import POSITION, traffic
 from footfall.workload.registry import over_log, query
 
 # Raw fields as a client sends them, with the gaps the rules are there for. Both engines
@@ -25,7 +26,7 @@ _RAW = """
  case when k % 4 = 0 then 'true' else 'null' end as ifo,
  case when k % 3 = 0 then 'img' else '' end as img,
  case when k % 9 = 0 then '6.9.9' when k % 9 = 1 then 'null' when k % 9 = 2 then 'M5.1' when k % 9 = 3 then '10.1.0' else '7.3.0' end as v,
- case k % 8 when 0 then 'x1' when 1 then '' else cast(1000 + user_id as {S}) end as dr,
+ case k % 8 when 0 then 'x1' when 1 then '' when 2 then cast(-5000 - user_id as {S}) else cast(1000 + user_id as {S}) end as dr,
  case when k % 12 = 0 then '' else 'page' end as ev,
  case when k % 12 = 0 then 'null' else 'pages/' || cast(k % 4 as {S}) end as pp,
  case k % 6 when 0 then '1014' when 1 then '1011' when 2 then 'null' else '' end as scene,
@@ -40,7 +41,7 @@ _WSR_SCENE, _WSR_PATH, _GENDER = "1000 + k % 100", "'w' || cast(k % 9 as {S})",
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``event_id``, ``ingest_ms`` and one JSON line; every tenth line is cut off."""
+    """``event_id``, ``ingest_ms`` and one JSON line; every tenth line is cut off or empty."""
     events = table(spark, sf_dir, "events")
     keyed = spark.sql(KEYED.format(**SPARK).replace("from events", "from {events}"), events=events)
     raw = spark.sql(_RAW.format(SEC="et div 1000", **SPARK).replace('"at"', "`at`").replace("from keyed", "from {keyed}"), keyed=keyed)
@@ -52,7 +53,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     fields = [c for c in nested.columns if c not in ("event_id", "k", "true_et")]
     line = F.to_json(F.struct(*fields))
-    cut = F.when(F.col("event_id") % 10 == 9, F.expr("substr(line, 1, length(line) - 1)")).otherwise(F.col("line"))
+    cut = F.when(F.col("event_id") % 20 == 19, F.lit("{}")).when(
+        F.col("event_id") % 10 == 9, F.expr("substr(line, 1, length(line) - 1)")
+    ).otherwise(F.col("line"))
     return nested.withColumn("line", line).select("event_id", F.col("true_et").alias("ingest_ms"), cut.alias("value"))
 
 
@@ -92,14 +95,11 @@ _COLUMNS = [
 ]
 
 
-@query(
-    "normalized_log",
-    over_log(
-        f"""
+_NORMALIZED = f"""
  select event_id, ak, te, uu, op, att, et, strftime(make_timestamp(et * 1000), '%Y%m%d') as day,
   strftime(make_timestamp(et * 1000), '%H') as hour, ifo, img, v,
-  case when {_DR} is null then {_FILLER} when not {_OLD} then coalesce(try_cast({_DR} as bigint) // 1000, 0)
-       when try_cast({_DR} as bigint) is not null then try_cast({_DR} as bigint) else {_FILLER} end as dr,
+  case when {_DR} is null then {_FILLER} when not {_OLD} then case when try_cast({_DR} as bigint) <= -1000 then {_FILLER} else coalesce(greatest(try_cast({_DR} as bigint), 0) // 1000, 0) end
+       when try_cast({_DR} as bigint) >= 0 then try_cast({_DR} as bigint) else {_FILLER} end as dr,
   case when ev is null and {_AUTH} then 'useless_level' else ev end as ev,
   case when pp is null and {_AUTH} then 'useless_page' else pp end as pp, scene, path, ct_utm_s, gender,
   case when qr is null and scene in ({_QR}) then utm_s else qr end as qr,
@@ -107,10 +107,16 @@ _COLUMNS = [
   case when link_key is null and scene in ({_AD}) and utm_s is not null and utm_m is not null then utm_s else link_key end as link_key,
   case when link_key is null and scene in ({_AD}) and utm_s is not null and utm_m is not null then utm_m end as media_id,
   coalesce(utm_s, 'null') as wsr_query_utm_s, coalesce(utm_m, 'null') as wsr_query_utm_m, 'null' as wsr_query_utm_p
- from clean""",
-        ctes=_CLEAN,
-    ),
-)
+ from clean"""
+
+
+def raw_trend_check() -> str:
+    """Check SQL of the daily trend over the normalised lines."""
+    log = f"select * from ({_NORMALIZED}) where ev is not null and pp is not null"
+    return traffic(REPORTS["daily_trend"], f"keyed as ({KEYED.format(**DUCKDB)}), {_CLEAN}, log as ({log})")
+
+
+@query("normalized_log", over_log(_NORMALIZED, ctes=_CLEAN))
 def _normalized(spark, sf):
     return normalize_log(raw_lines(spark, sf), ingest_ms="ingest_ms", keep=("event_id",)).select(*_COLUMNS)
 

@@ -77,7 +77,8 @@ select {", ".join(["ak", "day", *label, *level, *outside, *shown])} from (
        from rows group by {group}) v using ({group}){auth_join})"""
 
 
-def traffic(spec: ReportSpec) -> str:
+def traffic(spec: ReportSpec, head: str | None = None) -> str:
+    """``head`` gives another ``log`` than the workload's."""
     source, names = FAMILY_ROWS[spec.family]
     many = len(spec.levels) > 1
     new = "case when p.ifo = 'true'" + (" or m.att is not null" if spec.session_marks else "") + " then 1 else 0 end"
@@ -89,7 +90,7 @@ def traffic(spec: ReportSpec) -> str:
         else ""
     )
     parts = [
-        oracle_ctes(*names),
+        head or oracle_ctes(*names),
         MARKS,
         f"prepared as ({source})",
         f"rows as (select p.*, {new} as new_record {old_auth} from prepared p {mark_join})",

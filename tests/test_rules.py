@@ -28,8 +28,9 @@ def normalize(spark):
 def test_malformed_lines_are_dropped_and_counted(spark, normalize):
     bad = ["{not json", "", "[1, 2]", '"text"', '{"ak": "a"']
     assert [r["i"] for r in normalize(*bad, {})] == [5]
-    lines = spark.createDataFrame([(b,) for b in [*bad, json.dumps(BASE)]], "value string")
-    assert count_rejects(lines).collect()[0].asDict() == {"lines": 6, "rejected": 5}
+    assert normalize("{}") == []
+    lines = spark.createDataFrame([(b,) for b in [*bad, "{}", json.dumps(BASE)]], "value string")
+    assert count_rejects(lines).collect()[0].asDict() == {"lines": 7, "rejected": 6}
 
 
 def test_blank_null_and_null_text_are_missing(normalize):
@@ -84,6 +85,7 @@ def test_stay_units_and_fillers(normalize):
     stays = [r["dr"] for r in rows]
     assert stays[:3] == [5, 60, 0] and stays[5:] == [7, 7]
     assert all(10 <= s <= 59 for s in stays[3:5])
+    assert all(10 <= r["dr"] <= 59 for r in normalize({"dr": "-5000"}, {"dr": "-5", "v": "6.9.9"}))
     again = normalize({}, {}, {}, {"dr": "x", "v": "6.9.9"}, {"dr": ""})
     assert [r["dr"] for r in again][3:5] == stays[3:5]
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from footfall.operators import enrich, joins
+from footfall.operators import enrich
 from footfall.operators.traffic import traffic_totals
 from footfall.plans import reports
 from footfall.workload.log import log_of, lookup
@@ -30,22 +30,43 @@ def hot_log(spark):
     )
 
 
-def test_salted_join_equals_plain_join(spark):
-    log = hot_log(spark)
-    side = spark.createDataFrame([("L1", 1), ("L9", 2)], "link_key string, media int")
-    for how in ("left", "inner"):
-        plain = log.join(side, "link_key", how).select("event_id", "media")
-        salted = joins.salted_join(log, side, ["link_key"], ["att", "et"], how).select("event_id", "media")
-        assert _rows(plain.na.fill(-1)) == _rows(salted.na.fill(-1))
+def test_lookups_fold_to_one_row_per_key(spark):
+    log = hot_log(spark).withColumn("scene", F.lit("1001"))
+    twice = lookup(spark, "links").unionByName(lookup(spark, "links").withColumn("media_id", F.lit(9)))
+    media = lookup(spark, "media").unionByName(lookup(spark, "media").withColumn("media_name", F.lit("zz")))
+    assert enrich.add_media(log, twice).count() == enrich.add_media(log, lookup(spark, "links")).count() == 6000
+    assert enrich.add_activity_channel(log, twice, media).count() == 6000
 
 
-def test_attach_broadcasts_only_what_was_counted(spark):
+def test_lookup_size_decides_at_run_time(spark):
+    """Whether Spark broadcasts the lookup or not, rows are the same; nothing is forced or counted ahead."""
     log = hot_log(spark)
-    side = spark.range(50).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("link_key"), F.col("id").alias("m"))
-    small = joins.attach(log, side, ["link_key"], ["att", "et"])
-    big = joins.attach(log, side, ["link_key"], ["att", "et"], max_rows=10)
-    assert "_salt" in _plan(big) and "_salt" not in _plan(small)
-    assert _rows(small.select("event_id", "m")) == _rows(big.select("event_id", "m"))
+    rows = lambda: _rows(enrich.add_media(log, lookup(spark, "links")).select("event_id", "media_id"))
+    want, old = rows(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in _plan(enrich.add_media(log, lookup(spark, "links"))) and rows() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_stream_reads_only_its_days_and_buckets(spark, sf_dir, tmp_path):
+    from footfall.operators import first_seen
+    from footfall.schema import FIRST_SEEN_SCHEMA
+    from footfall.streaming import tables
+
+    log = log_of(spark, sf_dir)
+    tables.write_batch(log.select("ak", "uu", "day"), f"{tmp_path}/partials", 0, "day")
+    rows = tables.read_batches(spark, f"{tmp_path}/partials", log.select("ak", "uu", "day").schema, only=F.col("day").isin("20240110"))
+    plan = _plan(rows)
+    assert "day#" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")] and "20240110" in plan
+    users = first_seen.update_state(None, log.filter("op <> 'useless_openid'"))
+    tables.write_keyed(users, f"{tmp_path}/state", first_seen.KEYS, 0)
+    one = users.limit(1)
+    known = tables.read_keyed(spark, f"{tmp_path}/state", FIRST_SEEN_SCHEMA, first_seen.KEYS, one, 1)
+    plan = _plan(known)
+    assert "bucket#" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert one.join(known, ["ak", "op"], "left_semi").count() == 1 and known.count() < users.count()
 
 
 def test_hot_session_totals(spark):
