@@ -7,20 +7,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators import metrics
 from footfall.sinks.upsert import merge_totals
 
 
+def in_hours(day: str, from_hour: str, to_hour: str) -> Column:
+    return (F.col("day") == day) & F.col("hour").between(from_hour, to_hour)
+
+
 def hours_between(log: DataFrame, day: str, from_hour: str, to_hour: str) -> DataFrame:
-    return log.filter((F.col("day") == day) & F.col("hour").between(from_hour, to_hour))
+    return log.filter(in_hours(day, from_hour, to_hour))
 
 
-def backfill_report(stored: DataFrame, log: DataFrame, report: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
-    """Run the ordinary report over the bounded log and replace the stored rows of its keys."""
-    return merge_totals(stored, report(log), keys, policy="set")
+def backfill_report(stored: DataFrame, log: DataFrame, report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run the ordinary report over whole days of the log and replace all stored rows of those days.
+
+    A stored key that the days no longer have goes.
+    """
+    days = log.filter(F.col("day").isNotNull()).select("day").distinct()
+    kept = stored.join(days, "day", "left_anti")
+    return kept.unionByName(report(log).select(*stored.columns))
 
 
 def replace_hour_views(daily: DataFrame, stored_hours: DataFrame, new_hours: DataFrame, dims: list[str]) -> DataFrame:

@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from footfall.operators.traffic import add_ratios
 
-SET, ACC = "set", "acc"
+SET, ACC, DAYS = "set", "acc", "days"
 
 
 def merge_totals(stored: DataFrame, delta: DataFrame, keys: list[str], policy: str = SET,
                  sums: list[str] | None = None, ratios: list[str] | None = None) -> DataFrame:
     """Stored rows with the delta merged in by key.
 
-    ``set`` replaces the stored row of a key. ``acc`` adds the named sums; ratios are
-    computed again from the sums, never added.
+    ``set`` replaces the stored row of a key, ``days`` all stored rows of the delta's days.
+    ``acc`` adds the named sums; ratios are computed again from the sums, never added.
     """
+    if policy == DAYS:
+        kept = stored.join(delta.select("day").distinct(), "day", "left_anti")
+        return kept.unionByName(delta.select(*stored.columns))
     if policy == SET:
         kept = stored.join(delta.select(*keys), keys, "left_anti")
         return kept.unionByName(delta.select(*stored.columns))

@@ -111,8 +111,8 @@ def lookup(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"select * from values {_values(rows)} as t({columns})")
 
 
-def lookups_of(spark: SparkSession) -> Lookups:
-    return Lookups(**{name: lookup(spark, name) for name in LOOKUP_VALUES})
+def lookups_of(spark: SparkSession, **other: DataFrame) -> Lookups:
+    return Lookups(**{name: lookup(spark, name) for name in LOOKUP_VALUES} | other)
 
 
 def oracle_ctes(*names: str) -> str:

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators import backfill, metrics
 from footfall.plans import jobs, reports
+from footfall.plans.specs import REPORTS
 from footfall.schema import CHEAT_SCAN, RETENTION_SCAN
 from footfall.session import shared_dir
 from footfall.sinks import files, publish
 from footfall.sinks.upsert import merge_totals, upsert_table
 from footfall.sources import logs
-from footfall.workload.log import log_of, lookup, lookups_of
+from footfall.workload.log import log_of, lookup, lookups_of, oracle_ctes
+from footfall.workload.oracle import NOT_APP_LEVEL, traffic
 from footfall.workload.registry import ORACLES, over_log, query
 
 
@@ -211,6 +214,56 @@ def _hours(spark, sf):
     return jobs.backfill_hours("hourly_trend", stored, day, "20240110", "10", "23")
 
 
+_ONE_DAY = f"{oracle_ctes('links').replace('log as (', 'whole as (', 1)}, log as (select * from whole where day = '20240110')"
+
+
+@query("backfill_hours_of_link", traffic(REPORTS["hourly_link"], _ONE_DAY))
+def _hours_of_link(spark, sf):
+    """Users who authorised before the backfilled hours are not new in them."""
+    log, lookups = log_of(spark, sf), lookups_of(spark)
+    day = log.filter("day = '20240110'")
+    stored = reports.report("hourly_link", day, lookups).withColumns(
+        {c: F.when(F.col("hour") >= "10", F.col(c) + 7).otherwise(F.col(c)) for c in ("open_count", "new_auth_count")}
+    )
+    return jobs.backfill_hours("hourly_link", stored, day, "20240110", "10", "23", lookups)
+
+
+@query("backfill_hours_of_share", f"select * from ({ORACLES['hourly_share_summary']}) where day = '20240110'")
+def _hours_of_share(spark, sf):
+    day = log_of(spark, sf).filter("day = '20240110'")
+    stored = reports.share_summary(day.filter("hour < '10' or event_id % 2 = 0"), by_hour=True)
+    return jobs.backfill_hours("hourly_share_summary", stored, day, "20240110", "10", "23")
+
+
+@query("backfill_days_drops_keys", ORACLES["daily_link"])
+def _vanished(spark, sf):
+    """Links that were live when the days were counted first, and are deleted now."""
+    log, lookups = log_of(spark, sf), lookups_of(spark)
+    before = lookups_of(spark, links=lookup(spark, "links").withColumn("is_del", F.lit(0)))
+    return jobs.backfill_days("daily_link", jobs.build("daily_link", log, before), log, lookups)
+
+
+@query(
+    "job_routes",
+    over_log(
+        "select ak, day, te, pv, case when ak in (select ak from release where online_status = 1) then 'prod' else 'grey' end as route"
+        f" from (select ak, day, te, count(*) filter (where pp <> 'useless_page') as pv from log where {NOT_APP_LEVEL} group by all)",
+        "release",
+    ),
+)
+def _routes(spark, sf):
+    """A job before everything is online: released apps and grey ones go to a table each."""
+    root = f"{place(spark, sf, 'routes')}/{uuid.uuid4().hex}"
+    log = log_of(spark, sf)
+    jobs.run_job("daily_trend", log, root, "1", lookups_of(spark), all_online=False)
+    schema = reports.report("daily_trend", log).schema
+    parts = [
+        spark.read.schema(schema).parquet(jobs.table_of(root, "daily_trend", route)).withColumn("route", F.lit(route))
+        for route in (publish.PROD, publish.GREY)
+    ]
+    return parts[0].unionByName(parts[1]).select("ak", "day", "te", F.col("total_page_count").alias("pv"), "route")
+
+
 @query("backfill_hour_views", over_log("select ak, day, count(*) as pv from log group by all"))
 def _hour_views(spark, sf):
     log, dims = log_of(spark, sf), ["ak", "day"]
