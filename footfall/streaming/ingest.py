@@ -17,17 +17,24 @@ def normalized_stream(lines: DataFrame) -> DataFrame:
     return normalize_log(lines, ingest_ms=ingest, keep=keep)
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
+    """A folder of Parquet files; each is a task of its batch at least."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Raw JSON lines from text files, with the file's time as arrival, for ``normalized_stream``."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return lines.select("value", F.unix_millis("_metadata.file_modification_time").alias("ingest_ms"))
+
+
 def event_time(log: DataFrame, delay: str, column: str = "ts") -> DataFrame:
-    """Watermark on the event time; rows later than ``delay`` go through ``align_day`` before this."""
+    """Watermark on the event time; rows go through ``align_day`` before this, so none is later than ``delay``."""
     return log.withColumn(column, F.timestamp_millis("et")).withWatermark(column, delay)
 
 
 def run_available(writer, checkpoint: str) -> StreamingQuery:
-    """Process all that is there, in batches, and stop. A backfill is this with its own checkpoint."""
+    """Process all that is there, in batches, and stop. A backfill is this with its own checkpoint and run name."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

@@ -1,119 +1,180 @@
-"""Every report as a stream, with the totals of the batch report.
+"""Reports as streams, with the totals of the batch report.
 
 A batch reduces its rows to partials and stores them by day. The totals of the days it
 touched are then made from all stored partials of those days and replace the day's result
 rows. Visitors, sessions, bounces that a second page takes back, and late records of
 a session all come out exact, because partials are merged before anything is counted.
-What a batch reads back is the reduced partials of its days, not the log.
+
+What a batch reads back is bounded: the reduced partials of its days, whose folders are named
+in the filter as literals, and the buckets of the first-seen state that its users fall into.
+With ``job_day`` records of another day are first moved to the day they arrived on, so a
+batch touches the days on which it arrived only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.storagelevel import StorageLevel
 
-from footfall.operators import enrich, filters, first_seen
+from footfall.operators import enrich, filters, first_seen, sessions, share
 from footfall.operators.rollup import LINK_LEVELS
 from footfall.operators.traffic import Levels, merge_partials
+from footfall.plans import reports
 from footfall.plans.reports import Lookups, ad_link_partials, finish, finish_ads, report_partials, report_rows
-from footfall.plans.specs import ReportSpec
+from footfall.plans.specs import TERMINAL, ReportSpec
 from footfall.schema import FIRST_SEEN_SCHEMA
 from footfall.sinks.files import replace_days
-from footfall.streaming.tables import ensure_table, read_batches, write_batch
-
+from footfall.streaming.tables import LIVE, ensure_table, read_batches, read_keyed, values_of, write_batch, write_keyed
 
 ADS = "ad_reports"
 
 
 class ReportTables:
-    """Where one streamed report keeps its tables."""
+    """Where one streamed report keeps its tables. A run has a checkpoint of its own."""
 
-    def __init__(self, root: str, name: str):
+    def __init__(self, root: str, name: str, run: str = LIVE):
         base = f"{root.rstrip('/')}/{name}"
         self.partials = f"{base}/partials"
         self.marks = f"{base}/marks"
         self.state = f"{base}/state"
         self.totals = f"{base}/totals"
-        self.checkpoint = f"{base}/checkpoint"
+        self.checkpoint = f"{base}/checkpoint" if run == LIVE else f"{base}/checkpoint-{run}"
+        self.run = run
+
+
+@dataclass(frozen=True)
+class Streamed:
+    """How a report is made of parts: partials of a batch, their merge, result rows from merged ones and marks."""
+
+    name: str
+    partials: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    finish: Callable[[DataFrame, DataFrame | None], DataFrame]
+    marks: bool = False
+
+
+def _share(name: str, records: Callable[[DataFrame], DataFrame], dims: list[str]) -> Streamed:
+    return Streamed(name, lambda log: share.share_partials(records(log), dims), share.merge_share, share.finish_share, marks=True)
+
+
+#: Streamed reports that are no plain ``ReportSpec``.
+STREAMED: dict[str, Streamed] = {
+    s.name: s
+    for s in (
+        _share("daily_share_summary", filters.share_records, ["te"]),
+        _share("hourly_share_summary", filters.share_records, ["te", "hour"]),
+        _share("daily_page_share", reports.page_share_records, reports.PAGE_SHARE),
+        Streamed(
+            "daily_entrance_page",
+            lambda log: sessions.session_pages(reports.entry_rows(log), ["ak", "day"]),
+            sessions.merge_pages,
+            lambda pages, _: sessions.entry_totals_of(pages),
+        ),
+        Streamed(
+            "daily_terminal",
+            lambda log: report_partials(TERMINAL, reports.terminal_rows(log)),
+            merge_partials,
+            lambda partials, _: reports.stack_terminal(finish(TERMINAL, partials, None)),
+        ),
+        Streamed("sdk_versions", reports.sdk_versions, lambda rows: rows.distinct(), lambda rows, _: rows),
+    )
+}
+
+
+def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables) -> None:
+    """Enter one batch and bring the result rows of its days up to date."""
+    spark, run = log.sparkSession, tables.run
+    partials = report.partials(log)
+    write_batch(partials, tables.partials, batch_id, "day", run=run)
+    of_days = F.col("day").isin(*values_of(log, "day"))
+    marks = None
+    if report.marks:
+        marks = enrich.new_session_marks(log)
+        ensure_table(spark, tables.marks, marks.schema, "day")
+        write_batch(marks, tables.marks, batch_id, "day", run=run)
+        marks = read_batches(spark, tables.marks, marks.schema, only=of_days).distinct()
+    stored = read_batches(spark, tables.partials, partials.schema, only=of_days).select(*partials.columns)
+    replace_days(report.finish(report.merge(stored), marks), tables.totals)
 
 
 def refresh(spec: ReportSpec, log: DataFrame, batch_id: int, tables: ReportTables, lookups: Lookups) -> None:
-    """Enter one batch and bring the result rows of its days up to date."""
-    spark = log.sparkSession
+    """Enter one batch of a report by specification."""
     state = None
-    if spec.auth:
-        state = _state_before(spark, tables, batch_id)
-
-    partials = report_partials(spec, log, lookups, state, strict=True)
-    write_batch(partials, tables.partials, batch_id, "day")
-    marks = enrich.new_session_marks(log)
-    if spec.session_marks:
-        ensure_table(spark, tables.marks, marks.schema, "day")
-        write_batch(marks, tables.marks, batch_id, "day")
     if spec.auth:
         # Only authorisations of the report's own rows count as seen.
-        rows = report_rows(replace(spec, auth=False), log, lookups)
-        seen = first_seen.update_state(None, first_seen.auth_records(rows), first_seen.AUTH)
-        write_batch(seen, tables.state, batch_id)
-
-    days = log.select("day").distinct()
-    all_marks = None
-    if spec.session_marks:
-        all_marks = read_batches(spark, tables.marks, marks.schema).join(days, "day", "left_semi").distinct()
-    replace_days(finish(spec, _of_days(partials, days, tables), all_marks), tables.totals)
+        seen = first_seen.auth_records(report_rows(replace(spec, auth=False), log, lookups))
+        state = _state_before(log.sparkSession, tables, seen, batch_id)
+    enter(
+        Streamed(
+            spec.name,
+            lambda rows: report_partials(spec, rows, lookups, state, strict=True),
+            merge_partials,
+            lambda partials, marks: finish(spec, partials, marks),
+            spec.session_marks,
+        ),
+        log, batch_id, tables,
+    )
+    if spec.auth:
+        entered = first_seen.update_state(None, seen, first_seen.AUTH)
+        write_keyed(entered, tables.state, first_seen.KEYS, batch_id, tables.run)
 
 
 def refresh_ads(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, levels: Levels) -> None:
     """The advertising reports, with new and authorised users against one state table."""
-    spark = log.sparkSession
-    state = _state_before(spark, tables, batch_id)
-    partials = ad_link_partials(log, links, levels, state, state, strict=True)
-    write_batch(partials, tables.partials, batch_id, "day")
-
     known = log.filter(filters.has_openid())
+    state = _state_before(log.sparkSession, tables, known, batch_id)
+    enter(
+        Streamed(
+            ADS,
+            lambda rows: ad_link_partials(rows, links, levels, state, state, strict=True),
+            merge_partials,
+            lambda partials, _: finish_ads(partials, levels),
+        ),
+        log, batch_id, tables,
+    )
     visits = enrich.add_media(filters.require(known, "ad"), links)
     seen = first_seen.update_state(None, known, first_seen.NEW_USER)
     authorised = first_seen.update_state(None, first_seen.auth_records(visits), first_seen.AUTH)
-    write_batch(seen.unionByName(authorised), tables.state, batch_id)
-
-    stored = _of_days(partials, log.select("day").distinct(), tables)
-    replace_days(finish_ads(stored, levels), tables.totals)
+    write_keyed(seen.unionByName(authorised), tables.state, first_seen.KEYS, batch_id, tables.run)
 
 
-def _state_before(spark: SparkSession, tables: ReportTables, batch_id: int) -> DataFrame:
-    """First-seen state as earlier batches left it, so that a replay decides the same."""
-    ensure_table(spark, tables.state, FIRST_SEEN_SCHEMA)
-    return read_batches(spark, tables.state, FIRST_SEEN_SCHEMA, before=batch_id)
+def _state_before(spark: SparkSession, tables: ReportTables, users: DataFrame, batch_id: int) -> DataFrame:
+    """First-seen state of the users' buckets as earlier batches left it, so that a replay decides the same."""
+    return read_keyed(spark, tables.state, FIRST_SEEN_SCHEMA, first_seen.KEYS, users, batch_id, tables.run)
 
 
-def _of_days(partials: DataFrame, days: DataFrame, tables: ReportTables) -> DataFrame:
-    """Stored partials of the given days, merged over their batches."""
-    stored = read_batches(partials.sparkSession, tables.partials, partials.schema)
-    return merge_partials(stored.join(days, "day", "left_semi").select(*partials.columns))
+def stream(log: DataFrame, name: str, root: str, job_day: Column | None = None, run: str = LIVE) -> DataStreamWriter:
+    """A report of ``STREAMED`` as a stream."""
+    tables = ReportTables(root, name, run)
+    return _each_batch(log, job_day, lambda batch, batch_id: enter(STREAMED[name], batch, batch_id, tables))
 
 
-def stream_report(log: DataFrame, spec: ReportSpec, root: str, lookups: Lookups = Lookups()) -> DataStreamWriter:
+def stream_report(log: DataFrame, spec: ReportSpec, root: str, lookups: Lookups = Lookups(), job_day: Column | None = None,
+                  run: str = LIVE) -> DataStreamWriter:
     """A writer that keeps the report's totals; start it with ``ingest.run_available`` or ``start_every``."""
-    tables = ReportTables(root, spec.name)
-    return _each_batch(log, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups))
+    tables = ReportTables(root, spec.name, run)
+    return _each_batch(log, job_day, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups))
 
 
-def stream_ads(log: DataFrame, root: str, links: DataFrame, levels: Levels = LINK_LEVELS) -> DataStreamWriter:
+def stream_ads(log: DataFrame, root: str, links: DataFrame, levels: Levels = LINK_LEVELS, job_day: Column | None = None,
+               run: str = LIVE) -> DataStreamWriter:
     """The advertising reports as a stream."""
-    tables = ReportTables(root, ADS)
-    return _each_batch(log, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
+    tables = ReportTables(root, ADS, run)
+    return _each_batch(log, job_day, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
 
 
-def _each_batch(log: DataFrame, enter: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+def _each_batch(log: DataFrame, job_day: Column | None, take: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            enter(batch, batch_id)
+            take(batch, batch_id)
         finally:
             batch.unpersist()
 
-    return log.writeStream.foreachBatch(each)
+    aligned = log if job_day is None else enrich.align_day(log, job_day)
+    return aligned.writeStream.foreachBatch(each)

@@ -10,17 +10,17 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from footfall.functions.text import safe_ratio
-from footfall.streaming.tables import write_batch
+from footfall.operators import enrich
+from footfall.streaming.tables import LIVE, write_batch
 
 STATE_HOURS = 50  # a day of events, and until 02:00 after the day in which they may arrive
-_TTL_MS = STATE_HOURS * 3600 * 1000
 
 _STATE = "pages int, stay long, is_new int, pv long, first_ms long, first_page string"
 _PAGE_KEY, _PAGE_VALUE = "pp string", "seen int"
@@ -54,9 +54,12 @@ def combine(log: DataFrame, dims: list[str]) -> DataFrame:
 class _Sessions(StatefulProcessor):
     """Keeps one session: its pages in a map, the rest in one value."""
 
+    def __init__(self, hours: int):
+        self.ttl_ms = hours * 3600 * 1000
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.summary = handle.getValueState("summary", _STATE, ttlDurationMs=_TTL_MS)
-        self.pages = handle.getMapState("pages", _PAGE_KEY, _PAGE_VALUE, ttlDurationMs=_TTL_MS)
+        self.summary = handle.getValueState("summary", _STATE, ttlDurationMs=self.ttl_ms)
+        self.pages = handle.getMapState("pages", _PAGE_KEY, _PAGE_VALUE, ttlDurationMs=self.ttl_ms)
 
     def absorb(self, rows: Iterator[pd.DataFrame]):
         """Take the rows in; the session before (None when it is new) and after."""
@@ -141,19 +144,22 @@ def _changes(log: DataFrame, dims: list[str], processor: StatefulProcessor, extr
     return changed.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)}).drop("att")
 
 
-def session_changes(log: DataFrame, dims: list[str]) -> DataFrame:
-    return _changes(log, dims, SessionChanges(), [], SUMS)
+def session_changes(log: DataFrame, dims: list[str], job_day: Column, hours: int = STATE_HOURS) -> DataFrame:
+    """``job_day`` is the day a record arrived: records of another day belong to a session of that
+    day, so no session is opened a second time after its state has gone (``hours`` after its last record).
+    """
+    return _changes(enrich.align_day(log, job_day), dims, SessionChanges(hours), [], SUMS)
 
 
-def entry_changes(log: DataFrame, dims: list[str]) -> DataFrame:
-    return _changes(log, dims, EntryChanges(), ["page_path"], ENTRY_SUMS)
+def entry_changes(log: DataFrame, dims: list[str], job_day: Column, hours: int = STATE_HOURS) -> DataFrame:
+    return _changes(enrich.align_day(log, job_day), dims, EntryChanges(hours), ["page_path"], ENTRY_SUMS)
 
 
-def keep_changes(changes: DataFrame, keys: list[str], sums: list[str], path: str) -> DataStreamWriter:
+def keep_changes(changes: DataFrame, keys: list[str], sums: list[str], path: str, run: str = LIVE) -> DataStreamWriter:
     """Fold each batch's changes per key and store them; totals are the sums over batches."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]), path, batch_id)
+        write_batch(batch.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]), path, batch_id, run=run)
 
     return changes.writeStream.foreachBatch(each)
 

@@ -1,38 +1,76 @@
 """Tables that a stream writes batch by batch.
 
-A batch writes its own ``batch_id`` partitions and replaces them when it runs again, so a
-replayed batch leaves the table as it was: at-least-once input, exactly-once content.
+A batch writes its own ``run`` and ``batch_id`` partitions and replaces them when it runs
+again, so a replayed batch leaves the table as it was: at-least-once input, exactly-once
+content. A run is one checkpoint: batch ids start at 0 with each checkpoint, so a backfill
+with a checkpoint of its own names its own run and leaves the live batches alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH = "batch_id"
+RUN, BATCH, BUCKET = "run", "batch_id", "bucket"
+LIVE = "live"
+#: Buckets of a keyed table; a batch reads those that its keys fall into.
+BUCKETS = 16
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, *partition: str) -> None:
+def write_batch(rows: DataFrame, path: str, batch_id: int, *partition: str, run: str = LIVE) -> None:
     (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        rows.withColumns({RUN: F.lit(run), BATCH: F.lit(batch_id).cast("long")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition, BATCH)
+        .partitionBy(*partition, RUN, BATCH)
         .parquet(path)
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All rows, or those of earlier batches. The schema is the written rows' own."""
-    with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    rows = spark.read.schema(with_batch).parquet(path)
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())])
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None, run: str = LIVE,
+                 only: Column | None = None) -> DataFrame:
+    """All rows, or without those of the run from batch ``before`` on. The schema is the written rows' own.
+
+    ``only`` is a condition on partition columns with literal values, so that other folders are not read.
+    """
+    rows = spark.read.schema(_with_batch(schema)).parquet(path)
+    if only is not None:
+        rows = rows.filter(only)
     if before is not None:
-        rows = rows.filter(F.col(BATCH) < before)
-    return rows.drop(BATCH)
+        rows = rows.filter((F.col(RUN) != run) | (F.col(BATCH) < before))
+    return rows.drop(RUN, BATCH)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, *partition: str) -> None:
     """An empty table, so that the first batch can read what earlier batches left."""
-    empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
-    empty.write.mode("append").partitionBy(*partition, BATCH).parquet(path)
+    spark.createDataFrame([], _with_batch(schema)).write.mode("append").partitionBy(*partition, RUN, BATCH).parquet(path)
+
+
+def values_of(rows: DataFrame, column: str) -> list:
+    """The few different values of a partition column in a batch: its days, its buckets."""
+    return sorted(r[0] for r in rows.select(column).distinct().collect() if r[0] is not None)
+
+
+# -- keyed tables -----------------------------------------------------------------------
+
+
+def bucket_of(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def write_keyed(rows: DataFrame, path: str, keys: tuple[str, ...], batch_id: int, run: str = LIVE) -> None:
+    write_batch(rows.withColumn(BUCKET, bucket_of(*keys)), path, batch_id, BUCKET, run=run)
+
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], batch: DataFrame, batch_id: int,
+               run: str = LIVE) -> DataFrame:
+    """What earlier batches wrote into the buckets of the batch's keys."""
+    bucketed = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    ensure_table(spark, path, bucketed, BUCKET)
+    touched = values_of(batch.select(bucket_of(*keys).alias(BUCKET)), BUCKET)
+    return read_batches(spark, path, bucketed, batch_id, run, F.col(BUCKET).isin(*touched)).drop(BUCKET)

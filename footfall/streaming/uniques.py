@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from footfall.operators import first_seen
+from footfall.operators import enrich, first_seen
 from footfall.schema import FIRST_SEEN_SCHEMA
 from footfall.streaming.ingest import event_time
-from footfall.streaming.tables import ensure_table, read_batches, write_batch
+from footfall.streaming.tables import LIVE, read_batches, read_keyed, write_batch, write_keyed
 
 # A day's counters live until 02:00 of the next day.
 COUNTER_DELAY = "26 hours"
@@ -32,20 +32,25 @@ def drop_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.mapInPandas(distinct, rows.schema)
 
 
-def first_of_day(log: DataFrame, dims: list[str], identity: str = "uu", delay: str = COUNTER_DELAY) -> DataFrame:
-    """A stream of the first record of each identity per dims; state leaves with the watermark."""
+def first_of_day(log: DataFrame, dims: list[str], job_day: Column, identity: str = "uu", delay: str = COUNTER_DELAY) -> DataFrame:
+    """A stream of the first record of each identity per dims; state leaves with the watermark.
+
+    ``job_day`` is the day a record arrived. Records of another day are moved to it first, so
+    none comes after its day's state has gone, and none is dropped as late.
+    """
     keys = [*dims, identity]
-    slim = log.select("et", *keys)
+    slim = enrich.align_day(log, job_day).select("et", *keys)
     return event_time(drop_repeats(slim, keys), delay).dropDuplicatesWithinWatermark(keys)
 
 
-def unique_stream(log: DataFrame, dims: list[str], path: str, identity: str = "uu", delay: str = COUNTER_DELAY) -> DataStreamWriter:
+def unique_stream(log: DataFrame, dims: list[str], path: str, job_day: Column, identity: str = "uu",
+                  delay: str = COUNTER_DELAY, run: str = LIVE) -> DataStreamWriter:
     """Add each batch's new identities per dims to a table of increments."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.groupBy(*dims).agg(F.count("*").alias("uv")), path, batch_id)
+        write_batch(batch.groupBy(*dims).agg(F.count("*").alias("uv")), path, batch_id, run=run)
 
-    return first_of_day(log, dims, identity, delay).writeStream.foreachBatch(each)
+    return first_of_day(log, dims, job_day, identity, delay).writeStream.foreachBatch(each)
 
 
 def running_totals(spark: SparkSession, path: str, schema, keys: list[str], sums: list[str]) -> DataFrame:
@@ -53,26 +58,29 @@ def running_totals(spark: SparkSession, path: str, schema, keys: list[str], sums
     return read_batches(spark, path, schema).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def windowed_views(log: DataFrame, dims: list[str], width: str = "1 hour", delay: str = COUNTER_DELAY) -> DataFrame:
-    """Page views per tumbling window of event time; run in ``update`` mode for running totals."""
-    timed = event_time(log, delay)
+def windowed_views(log: DataFrame, dims: list[str], job_day: Column, width: str = "1 hour", delay: str = COUNTER_DELAY) -> DataFrame:
+    """Page views per tumbling window of event time; run in ``update`` mode for running totals.
+
+    Records of another day than the one they arrived on count at that day's beginning.
+    """
+    timed = event_time(enrich.align_day(log, job_day), delay)
     window = F.window("ts", width)
     return timed.groupBy(window.alias("window"), *dims).agg(F.count("*").alias("pv"))
 
 
-def mark_new_users(log: DataFrame, state_path: str, out_path: str, kind: str = first_seen.NEW_USER) -> DataStreamWriter:
-    """Write the record with which each user is seen first, against a state table.
+def mark_new_users(log: DataFrame, state_path: str, out_path: str, kind: str = first_seen.NEW_USER, run: str = LIVE) -> DataStreamWriter:
+    """Write the record with which each user is seen first, against a state table in buckets.
 
-    The state of a batch is what earlier batches wrote, so a replay decides the same.
+    The state of a batch is what earlier batches wrote, so a replay decides the same. Only
+    the buckets of the batch's users are read.
     """
     spark = log.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ensure_table(spark, state_path, FIRST_SEEN_SCHEMA)
-        state = read_batches(spark, state_path, FIRST_SEEN_SCHEMA, before=batch_id)
+        state = read_keyed(spark, state_path, FIRST_SEEN_SCHEMA, first_seen.KEYS, batch, batch_id, run)
         new = first_seen.first_seen_strict(batch, state, kind)
-        write_batch(new, out_path, batch_id)
-        entered = spark.read.parquet(out_path).filter(F.col("batch_id") == batch_id)
-        write_batch(first_seen.update_state(None, entered, kind), state_path, batch_id)
+        write_batch(new, out_path, batch_id, run=run)
+        entered = spark.read.parquet(out_path).filter((F.col("run") == run) & (F.col("batch_id") == batch_id))
+        write_keyed(first_seen.update_state(None, entered, kind), state_path, first_seen.KEYS, batch_id, run)
 
     return log.writeStream.foreachBatch(each)

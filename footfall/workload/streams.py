@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions import times
 from footfall.operators import first_seen, metrics
 from footfall.operators.filters import has_openid
 from footfall.plans.specs import AD_LEVELS, JOBS, REPORTS
@@ -14,31 +15,42 @@ from footfall.sinks import publish
 from footfall.sinks.upsert import upsert_table
 from footfall.streaming import ingest, reports, sessions, tables, uniques
 from footfall.workload.log import log_of, lookup, lookups_of
+from footfall.workload.normalising import raw_lines, raw_trend_check
 from footfall.workload.registry import ORACLES, over_log, query
 from footfall.workload.storing import place
 
-FILES = 3
-# The whole month arrives in a few files in any order, so a month of lateness is kept.
-MONTH = "40 days"
+#: Files of one micro-batch; they are read side by side.
+FILES = 8
+#: Cuts between the batches of an ordered stream, one of them inside a day.
+CUTS = ("timestamp '2024-01-10 12:00:00'", "timestamp '2024-01-21 00:00:00'")
+DAY_MS = 86_400_000
 
 
-def log_stream(spark: SparkSession, sf_dir: str, root: str, ordered: bool = False) -> DataFrame:
-    """The log as files, one per micro-batch.
+def job_day() -> Column:
+    """The day a record arrived."""
+    return times.day_of(F.col("ingest_ms"))
 
-    Records of one session are spread over all files; or, ``ordered``, files follow the
-    clock, with cuts inside a day.
+
+def log_stream(spark: SparkSession, sf_dir: str, root: str, ordered: bool = False, lateness: str = "0") -> DataFrame:
+    """The log as files, read in three micro-batches, with its arrival time ``ingest_ms``.
+
+    Records of one session are spread over all batches; or, ``ordered``, batches follow the
+    arrival. ``lateness`` is how many ms a record arrives after it happened.
     """
-    log = log_of(spark, sf_dir)
-    path = f"{root}/input"
+    log = log_of(spark, sf_dir).withColumn("ingest_ms", F.col("et") + F.expr(lateness).cast("long"))
     if ordered:
-        slices = ["day < '20240111' and (day < '20240110' or hour < '12')", "day < '20240121'", "true"]
-        before = "false"
-        for part in slices:
-            log.filter(f"({part}) and not ({before})").coalesce(1).write.mode("append").parquet(path)
-            before = part
+        arrived = [f"ingest_ms < unix_millis({cut})" for cut in CUTS]
+        parts = [arrived[0], f"{arrived[1]} and not ({arrived[0]})", f"not ({arrived[1]})"]
     else:
-        log.repartition(FILES, F.pmod(F.xxhash64("event_id"), F.lit(FILES))).write.mode("overwrite").parquet(path)
-    return ingest.file_stream(spark, path, log.schema)
+        parts = [f"pmod(xxhash64(event_id), 3) = {i}" for i in range(3)]
+    return staged_stream(spark, [log.filter(part) for part in parts], f"{root}/input")
+
+
+def staged_stream(spark: SparkSession, parts: list[DataFrame], path: str) -> DataFrame:
+    """Tables as the micro-batches of a file stream, in this order."""
+    for part in parts:
+        part.repartition(FILES).write.mode("append").parquet(path)
+    return ingest.file_stream(spark, path, parts[0].schema, FILES)
 
 
 def _root(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -50,7 +62,10 @@ def _totals(spark: SparkSession, kept: reports.ReportTables) -> DataFrame:
     return spark.read.parquet(kept.totals).withColumn("day", F.col("day").cast("string"))
 
 
-for _name in ("trend_job", "daily_scene", "daily_link", "link_expansion"):
+_SPECS = (
+    "trend_job", "daily_scene", "qr_job", "region_job", "phone_job", "daily_link", "link_expansion", "link_monitor_cube",
+)
+for _name in _SPECS:
 
     @query(f"stream_{_name}", ORACLES[_name])
     def _stream(spark, sf, name=_name):
@@ -63,6 +78,52 @@ for _name in ("trend_job", "daily_scene", "daily_link", "link_expansion"):
         return _totals(spark, kept)
 
 
+for _name in reports.STREAMED:
+
+    @query(f"stream_{_name}", ORACLES[_name])
+    def _streamed(spark, sf, name=_name):
+        root = _root(spark, sf, f"stream_{name}")
+        kept = reports.ReportTables(root, name)
+        ingest.run_available(reports.stream(log_stream(spark, sf, root), name, root), kept.checkpoint)
+        return _totals(spark, kept)
+
+
+@query("stream_two_runs", ORACLES["daily_scene"])
+def _two_runs(spark, sf):
+    """A live stream, then a backfill of what it missed, with a checkpoint of its own, into the same tables."""
+    root, spec = _root(spark, sf, "two_runs"), REPORTS["daily_scene"]
+    log = log_of(spark, sf)
+    for run, part in (("live", "event_id % 3 > 0"), ("again", "event_id % 3 = 0")):
+        missed = staged_stream(spark, [log.filter(part)], f"{root}/{run}")
+        kept = reports.ReportTables(root, spec.name, run)
+        ingest.run_available(reports.stream_report(missed, spec, root, lookups_of(spark), run=run), kept.checkpoint)
+    return _totals(spark, kept)
+
+
+@query("stream_raw_trend", raw_trend_check())
+def _raw(spark, sf):
+    """From JSON lines to the report in one stream; some lines are cut off, and each batch has lines of all days."""
+    root, spec = _root(spark, sf, "raw"), REPORTS["daily_trend"]
+    lines = raw_lines(spark, sf)
+    source = staged_stream(spark, [lines.filter(f"event_id % 2 = {i}") for i in range(2)], f"{root}/lines")
+    kept = reports.ReportTables(root, spec.name)
+    ingest.run_available(reports.stream_report(ingest.normalized_stream(source), spec, root), kept.checkpoint)
+    return _totals(spark, kept)
+
+
+_LATE = f"case when event_id % 10 = 0 then {3 * DAY_MS} else 0 end"
+_ARRIVED = "strftime(make_timestamp((et + {late}) * 1000), '%Y%m%d')".format(late=_LATE)
+
+
+@query("stream_late_visitors", over_log(f"select ak, {_ARRIVED} as day, count(distinct uu) as uv from log group by all"))
+def _late(spark, sf):
+    """A tenth of the records come three days late: they count on the day they arrive, at the default delay."""
+    root, dims = _root(spark, sf, "late"), ["ak", "day"]
+    stream = log_stream(spark, sf, root, ordered=True, lateness=_LATE)
+    ingest.run_available(uniques.unique_stream(stream, dims, f"{root}/uv", job_day()), f"{root}/checkpoint")
+    return uniques.running_totals(spark, f"{root}/uv", _uv_schema(spark), dims, ["uv"])
+
+
 @query("stream_ad_levels", ORACLES["ad_levels"])
 def _ads(spark, sf):
     root = _root(spark, sf, "stream_ads")
@@ -88,12 +149,16 @@ def _messages(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{root}/table")
 
 
+def _uv_schema(spark: SparkSession):
+    return spark.createDataFrame([], "ak string, day string, uv long").schema
+
+
 @query("stream_unique_visitors", over_log("select ak, day, count(distinct uu) as uv from log group by all"))
 def _uniques(spark, sf):
     root = _root(spark, sf, "uniques")
-    stream = log_stream(spark, sf, root)
-    ingest.run_available(uniques.unique_stream(stream, ["ak", "day"], f"{root}/uv", delay=MONTH), f"{root}/checkpoint")
-    return uniques.running_totals(spark, f"{root}/uv", spark.createDataFrame([], "ak string, day string, uv long").schema, ["ak", "day"], ["uv"])
+    stream = log_stream(spark, sf, root, ordered=True)
+    ingest.run_available(uniques.unique_stream(stream, ["ak", "day"], f"{root}/uv", job_day()), f"{root}/checkpoint")
+    return uniques.running_totals(spark, f"{root}/uv", _uv_schema(spark), ["ak", "day"], ["uv"])
 
 
 @query(
@@ -107,7 +172,7 @@ def _uniques(spark, sf):
 )
 def _sessions(spark, sf):
     root, dims = _root(spark, sf, "sessions"), ["ak", "te", "day"]
-    changes = sessions.session_changes(log_stream(spark, sf, root), dims)
+    changes = sessions.session_changes(log_stream(spark, sf, root), dims, job_day())
     with sessions.state_settings(spark):
         ingest.run_available(sessions.keep_changes(changes, dims, sessions.SUMS, f"{root}/changes"), f"{root}/checkpoint")
     schema = spark.createDataFrame([], "ak string, te string, day string, " + ", ".join(f"{c} long" for c in sessions.SUMS)).schema
@@ -125,7 +190,7 @@ def _sessions(spark, sf):
 )
 def _entries(spark, sf):
     root, dims = _root(spark, sf, "entries"), ["ak", "day"]
-    changes = sessions.entry_changes(log_stream(spark, sf, root), dims)
+    changes = sessions.entry_changes(log_stream(spark, sf, root), dims, job_day())
     keys = [*dims, "page_path"]
     with sessions.state_settings(spark):
         ingest.run_available(sessions.keep_changes(changes, keys, sessions.ENTRY_SUMS, f"{root}/changes"), f"{root}/checkpoint")
@@ -148,7 +213,7 @@ def _new_users(spark, sf):
 @query("stream_windowed_views", over_log("select ak, epoch_ms(date_trunc('hour', make_timestamp(et * 1000))) as start_ms, count(*) as pv from log group by all"))
 def _windows(spark, sf):
     root = _root(spark, sf, "windows")
-    views = uniques.windowed_views(log_stream(spark, sf, root), ["ak"], "1 hour", MONTH)
+    views = uniques.windowed_views(log_stream(spark, sf, root, ordered=True), ["ak"], job_day())
     rows = views.select("ak", F.unix_millis("window.start").alias("start_ms"), "pv")
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from footfall.functions import times
 from footfall.operators import first_seen
 from footfall.operators.filters import has_openid
 from footfall.plans import reports
@@ -118,15 +119,15 @@ def test_bounce_is_taken_back_across_batches(spark, tmp_path):
             ingest.run_available(sessions.keep_changes(changes, keys, sums, f"{tmp_path}/{name}"), f"{tmp_path}/{name}_cp")
         return spark.read.parquet(f"{tmp_path}/{name}")
 
-    stream = ingest.file_stream(spark, f"{tmp_path}/in/*", files)
-    changes = run("s", sessions.session_changes(stream, ["ak", "day"]), ["ak", "day"], sessions.SUMS)
+    stream = ingest.file_stream(spark, f"{tmp_path}/in/*", files, 1)
+    changes = run("s", sessions.session_changes(stream, ["ak", "day"], times.day_of(F.col("et"))), ["ak", "day"], sessions.SUMS)
     by_batch = {r.batch_id: r for r in changes.collect()}
     assert sum(r.one_page_count for r in by_batch.values()) == 1
     assert min(r.one_page_count for r in by_batch.values()) == -1
     assert sum(r.total_stay_time for r in by_batch.values()) == 10 and sum(r.open_count for r in by_batch.values()) == 2
 
-    stream = ingest.file_stream(spark, f"{tmp_path}/in/*", files)
-    moved = run("e", sessions.entry_changes(stream, ["ak", "day"]), ["ak", "day", "page_path"], sessions.ENTRY_SUMS)
+    stream = ingest.file_stream(spark, f"{tmp_path}/in/*", files, 1)
+    moved = run("e", sessions.entry_changes(stream, ["ak", "day"], times.day_of(F.col("et"))), ["ak", "day", "page_path"], sessions.ENTRY_SUMS)
     totals = moved.groupBy("page_path").agg(F.sum("entry_page_count").alias("n")).filter("n <> 0")
     assert _rows(totals) == [(1, "p0"), (1, "p1")]
 
@@ -136,3 +137,40 @@ def test_stored_increments_ignore_replays(spark, tmp_path):
     for batch_id in (0, 1, 1):
         tables.write_batch(rows, f"{tmp_path}/uv", batch_id)
     assert _rows(uniques.running_totals(spark, f"{tmp_path}/uv", rows.schema, ["ak"], ["uv"])) == [("a", 4)]
+
+
+def test_two_checkpoints_on_one_table_keep_both(spark, tmp_path):
+    rows = lambda n: spark.createDataFrame([("a", n)], "ak string, uv long")
+    for run, n in (("live", 1), ("again", 2), ("again", 2)):
+        tables.write_batch(rows(n), f"{tmp_path}/uv", 0, run=run)
+    schema = rows(0).schema
+    assert _rows(uniques.running_totals(spark, f"{tmp_path}/uv", schema, ["ak"], ["uv"])) == [("a", 3)]
+    before = tables.read_batches(spark, f"{tmp_path}/uv", schema, before=0, run="again")
+    assert _rows(before) == [("a", 1)]
+
+
+def test_day_policy_replaces_whole_days(spark, tmp_path):
+    schema = "ak string, n long, day string"
+    path = str(tmp_path / "t")
+    upsert_table(spark.createDataFrame([("a", 1, "d1"), ("gone", 2, "d1"), ("b", 3, "d2")], schema), path, f"{tmp_path}/s/0", ["ak", "day"])
+    upsert_table(spark.createDataFrame([("a", 5, "d1")], schema), path, f"{tmp_path}/s/1", ["ak", "day"], "days")
+    rows = spark.read.schema(schema).parquet(path).collect()
+    assert sorted((r.ak, r.n, r.day) for r in rows) == [("a", 5, "d1"), ("b", 3, "d2")]
+
+
+def test_long_sources_stay_apart(spark, sf_dir):
+    long = F.concat(F.lit("x" * 300), (F.col("event_id") % 3).cast("string"))
+    log = log_of(spark, sf_dir).withColumns({"ct_utm_s": long, "wsr_query_utm_s": long})
+    assert reports.page_share(log).select("source").distinct().count() == 3
+
+
+def test_retention_mask_holds_many_days(spark):
+    import pytest
+
+    from footfall.operators import retention
+
+    base = spark.createDataFrame([("20240101", "a", "o"), ("20240220", "a", "o")], "day string, ak string, op string")
+    masks = {r.day: r.mask for r in retention.return_days(base, 55).collect()}
+    assert masks["20240101"] == 1 | 1 << 50
+    with pytest.raises(ValueError):
+        retention.return_days(base, 63)
