@@ -73,6 +73,48 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op10_mixing"] = r"""
+with sized as (
+  select doc_id, source, length(bin(size)) as importance, size from (
+    select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents)),
+sources as (select source, cast(sum(size) as bigint) as source_size, count(*) as n from sized group by source),
+weighted as (
+  select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 3.0::double when 1 then 1.0::double else 2.0::double end as weight
+  from sources),
+filled as (select *, source_size * 2.0::double as most, source_size * 2.0::double / weight as fill from weighted),
+levelled as (
+  select *, (sum(source_size) over () * 1.5::double - coalesce(sum(most) over earlier, 0)) / (sum(weight) over () - coalesce(sum(weight) over earlier, 0)) as level
+  from filled window earlier as (order by fill, source nulls last rows between unbounded preceding and 1 preceding)),
+targets as (
+  select source, source_size, case when level > fill then most else max(case when level <= fill then level end) over () * weight end as target
+  from levelled),
+parts as (
+  select source, source_size, target, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as whole from targets),
+classes as (
+  select c.source, importance, words, p.target - p.whole * p.source_size as rest,
+    coalesce(sum(words) over (partition by c.source order by importance desc rows between unbounded preceding and 1 preceding), 0) as certain,
+    sum(words * importance) over (partition by c.source order by importance desc rows between current row and unbounded following) as open
+  from (select source, importance, cast(sum(size) as bigint) as words from sized where size > 0 group by source, importance) c
+  join parts p on p.source is not distinct from c.source),
+scaled as (select *, (rest - certain) / open as scale from classes),
+odds as (
+  select source, importance, rest, case when scale * importance >= 1 then 1.0::double
+    else greatest(max(case when scale * importance < 1 then scale end) over (partition by source) * importance, 0) end as odds from scaled),
+drawn as (
+  select s.*, rest, odds, (cast(('0x' || substr(md5('mix' || coalesce(cast(doc_id as varchar), '')), 1, 13)) as bigint) + 0.5::double) / pow(16, 13) as u
+  from sized s join odds o on o.source is not distinct from s.source and o.importance = s.importance where size > 0),
+ranked as (
+  select *, case when odds >= 1 then 0.0 when odds <= 0 then 1.0 else u * (1 - odds) / (u * (1 - odds) + odds * (1 - u)) end as rank,
+    coalesce(doc_id, -9223372036854775808) as tie from drawn),
+taking as (
+  select doc_id, source, size, case when 2 * sum(size) over (partition by source order by rank, tie)
+    - sum(size) over (partition by source, rank, tie) <= 2 * rest then 1 else 0 end as more from ranked)
+select t.doc_id, t.size, p.source_size, p.target, cast((p.whole + t.more) * t.size as bigint) as taken, p.whole + t.more as copies
+from taking t join parts p on p.source is not distinct from t.source
+union all
+select s.doc_id, s.size, p.source_size, p.target, 0, 0 from sized s join parts p on p.source is not distinct from s.source where s.size = 0"""
+
+
 @_query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
