@@ -270,7 +270,8 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     stars = _stars(firsts)
     firsts = firsts.drop("halves")
     wanted = stars.select("id").union(stars.select(F.col("star").alias("id"))).distinct()
-    sets = rows.join(wanted, "id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>").dropDuplicates(["id"])
+    # What is wanted grows with the corpus: never broadcast, and the same plan at every size.
+    sets = rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>").dropDuplicates(["id"])
     sets = staged(sets, "sets")
     links = components(_star_links(stars, firsts, sets))
     more = _left_over(stars, links, firsts, sets)
