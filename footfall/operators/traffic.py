@@ -72,8 +72,10 @@ def traffic_partials(log: DataFrame, levels: Levels, identity: str = "uu", auth:
         rows = at_levels(rows, levels, dims)
 
     group = [*BASE, *(["level"] if many else []), *dims]
-    kinds = [SESSION, VISITOR, *([AUTH] if auth else [])]
-    entries = rows.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
+    kinds = {SESSION: "att", VISITOR: "visitor", **({AUTH: "auth_id"} if auth else {})}
+    # Identities that a row does not have are left out before it is copied.
+    there = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(k)) for k, c in kinds.items()]))
+    entries = rows.withColumn("kind", F.explode(there))
     is_session = F.col("kind") == SESSION
     identity_of = F.when(is_session, F.col("att")).when(F.col("kind") == VISITOR, F.col("visitor"))
     entries = entries.select(
@@ -81,7 +83,7 @@ def traffic_partials(log: DataFrame, levels: Levels, identity: str = "uu", auth:
         "kind",
         identity_of.otherwise(F.col("auth_id")).alias("id"),
         *[F.when(is_session, F.col(c)).alias(c) for c in ("pp", *MEASURES)],
-    ).filter(F.col("id").isNotNull())
+    )
     return _merge(entries, [*group, "kind", "id", "pp"])
 
 
