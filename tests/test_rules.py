@@ -148,3 +148,66 @@ def test_text_functions(spark):
 def test_clock_difference(spark):
     df = spark.createDataFrame([(1_704_880_800, ET + 2999), (1_704_880_800, ET + 3000)], "s long, c long")
     assert [r[0] for r in df.select(times.clock_difference(F.col("s"), F.col("c"))).collect()] == [0, -3000]
+
+
+def test_required_fields_of_every_family(spark):
+    """A row without one of a family's fields goes, and only then."""
+    numbers = {"et", "dr"}
+    for family, names in filters.REQUIRED.items():
+        schema = "missing string, " + ", ".join(f"{n} {'long' if n in numbers else 'string'}" for n in names)
+        full = {n: 1 if n in numbers else "x" for n in names}
+        rows = [("none", *full.values())]
+        for name in names:
+            for gap in (None,) if name in numbers else (None, "", "  ", "null"):
+                rows.append((name, *{**full, name: gap}.values()))
+        kept = filters.require(spark.createDataFrame(rows, schema), family).collect()
+        assert [r.missing for r in kept] == ["none"], family
+
+
+def test_pages_that_show_nothing_are_no_views(spark):
+    from footfall.operators.traffic import traffic_totals
+
+    row = {"ak": "a", "day": "d", "att": "s", "uu": "u", "ev": "page", "dr": 1, "ifo": "false"}
+    pages = ["p", S.NO_PAGE, "p", "q"]
+    log = spark.createDataFrame([(*row.values(), p) for p in pages], "ak string, day string, att string, uu string, ev string, dr long, ifo string, pp string")
+    total = traffic_totals(log, ((),)).first()
+    assert (total.total_page_count, total.open_count, total.visitor_count) == (3, 1, 1)
+
+
+def test_scene_groups_of_blank_and_unknown_scenes(spark):
+    scenes = spark.createDataFrame([("wx", "1", "g")], "te string, scene_id string, scene_group_id string")
+    log = spark.createDataFrame([(i, "wx", s) for i, s in enumerate(["1", " 1 ", "2", "", "null", None])], "i int, te string, scene string")
+    rows = {r.i: (r.scene, r.scene_group) for r in enrich.add_scene_group(log, scenes).collect()}
+    assert rows[0] == rows[1] == ("1", "g") and rows[2] == (S.OTHER, S.OTHER)
+    assert rows[3] == rows[4] == rows[5] == (S.UNKNOWN, S.UNKNOWN)
+
+
+def test_a_user_and_a_session_id_in_two_apps_count_in_each(spark):
+    from footfall.operators.traffic import traffic_totals
+
+    schema = "ak string, day string, att string, uu string, ev string, dr long, ifo string, pp string"
+    rows = [("a", "d", "s", "u", "page", 5, "true", "p"), ("b", "d", "s", "u", "page", 7, "false", "p"), ("b", "d", "s", "u", "page", 2, "false", "q")]
+    got = {r.ak: r for r in traffic_totals(spark.createDataFrame(rows, schema), ((),)).collect()}
+    assert [(got[a].open_count, got[a].visitor_count, got[a].total_stay_time, got[a].one_page_count, got[a].new_comer_count) for a in "ab"] == [(1, 1, 5, 1, 1), (1, 1, 7, 0, 0)]
+
+
+def test_states_given_to_reports(spark):
+    """A user whom the state knows from before the day is not new; one entered on that day still is."""
+    from footfall.operators import first_seen
+    from footfall.plans import reports
+    from footfall.workload.log import lookup
+
+    schema = "ak string, day string, hour string, att string, uu string, op string, ev string, dr long, ifo string, img string, et long, event_id long, v string, pp string, te string, scene string, link_key string, media_id string"
+    row = lambda op, i: ("app1", "20240110", "10", f"s{i}", op, op, "page", 5, "true", "img", ET + i, i, "7.3.0", "p", "wx", "1014", "L1", "m")
+    log = spark.createDataFrame([row("old", 1), row("today", 2), row("new", 3)], schema)
+    state = lambda kind: spark.createDataFrame(
+        [("app1", "old", kind, ET - 86_400_000), ("app1", "today", kind, ET)], "ak string, op string, kind string, first_ts long"
+    )
+    both = state(first_seen.NEW_USER).unionByName(state(first_seen.AUTH))
+    home = reports.ad_home(log, lookup(spark, "links"), new_state=both, auth_state=both).first()
+    assert (home.visitor_count, home.new_comer_count, home.new_auth_count) == (3, 2, 2)
+    assert (home.total_visitor_count, home.total_newer_for_app, home.total_new_auth_user) == (3, 2, 2)
+    link = reports.report("daily_link", log, reports.Lookups(links=lookup(spark, "links")), both).first()
+    assert link.new_auth_count == 2
+    detail = reports.activity_detail(log, lookup(spark, "links"), lookup(spark, "media"), state(first_seen.ACTIVITY)).collect()
+    assert {r.openid: r.is_new_user for r in detail} == {"old": 1, "today": 0, "new": 0}
