@@ -183,7 +183,10 @@ def app_totals(log: DataFrame, by_hour: bool = False, new_state: DataFrame | Non
                auth_state: DataFrame | None = None) -> DataFrame:
     """Visitors, new users and authorisations of the whole app, with or without a link."""
     rows = _ad_rows(log, new_state)
-    totals = _ad_totals(_ad_partials(rows, (("hour",) if by_hour else (),), auth_state))
+    return _app_columns(_ad_totals(_ad_partials(rows, (("hour",) if by_hour else (),), auth_state)), by_hour)
+
+
+def _app_columns(totals: DataFrame, by_hour: bool) -> DataFrame:
     return totals.select(
         *BASE,
         *(["hour"] if by_hour else []),
@@ -196,9 +199,23 @@ def app_totals(log: DataFrame, by_hour: bool = False, new_state: DataFrame | Non
 def ad_home(log: DataFrame, links: DataFrame, by_hour: bool = False, new_state: DataFrame | None = None,
             auth_state: DataFrame | None = None) -> DataFrame:
     """Link totals beside the whole app's totals."""
+    return finish_home(home_partials(log, links, by_hour, new_state, auth_state, auth_state), by_hour)
+
+
+def home_partials(log: DataFrame, links: DataFrame, by_hour: bool = False, new_state: DataFrame | None = None,
+                  link_auth: DataFrame | None = None, app_auth: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """Partials of the link visits and of the whole app, told apart by ``side``."""
+    level = ("hour",) if by_hour else ()
+    rows = _ad_rows(log, new_state, strict)
+    link = _ad_partials(_ad_link_rows(rows, links), (level,), link_auth, strict)
+    app = _ad_partials(rows, (level,), app_auth, strict)
+    return link.withColumn("side", F.lit("link")).unionByName(app.withColumn("side", F.lit("app")))
+
+
+def finish_home(partials: DataFrame, by_hour: bool = False) -> DataFrame:
     level = ("hour",) if by_hour else ()
-    link = ad_reports(log, links, (level,), new_state, auth_state)
-    return link.join(app_totals(log, by_hour, new_state, auth_state), [*BASE, *level])
+    side = lambda name: partials.filter(F.col("side") == name).drop("side")
+    return finish_ads(side("link"), (level,)).join(_app_columns(_ad_totals(side("app")), by_hour), [*BASE, *level])
 
 
 # -- devices, pages, versions -----------------------------------------------------

@@ -31,7 +31,8 @@ from footfall.schema import FIRST_SEEN_SCHEMA
 from footfall.sinks.files import replace_days
 from footfall.streaming.tables import LIVE, ensure_table, read_batches, read_keyed, values_of, write_batch, write_keyed
 
-ADS = "ad_reports"
+ADS, HOME = "ad_reports", "ad_home"
+APP_AUTH = "app_auth"
 
 
 class ReportTables:
@@ -143,6 +144,29 @@ def refresh_ads(log: DataFrame, batch_id: int, tables: ReportTables, links: Data
     write_keyed(seen.unionByName(authorised), tables.state, first_seen.KEYS, batch_id, tables.run)
 
 
+def refresh_home(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, by_hour: bool) -> None:
+    """Link totals beside the app's. A user's first authorisation in a link and in the app are two states."""
+    known = log.filter(filters.has_openid())
+    state = _state_before(log.sparkSession, tables, known, batch_id)
+    in_app = state.filter(F.col("kind") == APP_AUTH).withColumn("kind", F.lit(first_seen.AUTH))
+    enter(
+        Streamed(
+            HOME,
+            lambda rows: reports.home_partials(rows, links, by_hour, state, state, in_app, strict=True),
+            merge_partials,
+            lambda partials, _: reports.finish_home(partials, by_hour),
+        ),
+        log, batch_id, tables,
+    )
+    visits = enrich.add_media(filters.require(known, "ad"), links)
+    seen = [
+        first_seen.update_state(None, known, first_seen.NEW_USER),
+        first_seen.update_state(None, first_seen.auth_records(visits), first_seen.AUTH),
+        first_seen.update_state(None, first_seen.auth_records(known), APP_AUTH),
+    ]
+    write_keyed(seen[0].unionByName(seen[1]).unionByName(seen[2]), tables.state, first_seen.KEYS, batch_id, tables.run)
+
+
 def _state_before(spark: SparkSession, tables: ReportTables, users: DataFrame, batch_id: int) -> DataFrame:
     """First-seen state of the users' buckets as earlier batches left it, so that a replay decides the same."""
     return read_keyed(spark, tables.state, FIRST_SEEN_SCHEMA, first_seen.KEYS, users, batch_id, tables.run)
@@ -168,6 +192,13 @@ def stream_ads(log: DataFrame, root: str, links: DataFrame, levels: Levels = LIN
     return _each_batch(log, job_day, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
 
 
+def stream_home(log: DataFrame, root: str, links: DataFrame, by_hour: bool = False, job_day: Column | None = None,
+                run: str = LIVE) -> DataStreamWriter:
+    """The advertising home report as a stream."""
+    tables = ReportTables(root, HOME, run)
+    return _each_batch(log, job_day, lambda batch, batch_id: refresh_home(batch, batch_id, tables, links, by_hour))
+
+
 def _each_batch(log: DataFrame, job_day: Column | None, take: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)

@@ -133,6 +133,15 @@ def _ads(spark, sf):
     return _totals(spark, kept)
 
 
+@query("stream_ad_home_hourly", ORACLES["ad_home_hourly"])
+def _home(spark, sf):
+    root = _root(spark, sf, "stream_home")
+    kept = reports.ReportTables(root, reports.HOME)
+    stream = log_stream(spark, sf, root, ordered=True)
+    ingest.run_available(reports.stream_home(stream, root, lookup(spark, "links"), by_hour=True), kept.checkpoint)
+    return _totals(spark, kept)
+
+
 @query("stream_messages_to_table", over_log("select ak, day, te, count(*) as pv from log group by all"))
 def _messages(spark, sf):
     """Published rows consumed batch by batch and entered into a table."""
