@@ -35,8 +35,10 @@ from footfall.llm.shared import held_out, staged, whole_text
 from footfall.llm.words import mixed, word_blocks
 
 #: Bytes of text of a block and of a shard's share; shards over which a frequent word's successors go.
-BLOCK_BYTES = 12 << 20
-SHARD_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 12 << 20
+#: Words that a task counts at a time.
+TALLY = 1_500_000
 SPLIT = 16
 #: Documents sampled (about) to tell frequent words.
 SAMPLE = 2_000
@@ -226,13 +228,26 @@ def _answer(group: pa.Table) -> pa.Table:
     )
 
 
+def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Different words with their counts, for every ``TALLY`` words or so."""
+    held, size, ends = [], 0, 0
+    for batch in batches:
+        for _, words, bounds in word_blocks(batch.column("text")):
+            held.append(words)
+            size += len(words)
+            ends += len(bounds) - 1
+            if size > TALLY:
+                yield np.unique(np.concatenate([*held, np.full(ends, _END)]), return_counts=True)
+                held, size, ends = [], 0, 0
+    if ends:
+        yield np.unique(np.concatenate([*held, np.full(ends, _END)]), return_counts=True)
+
+
 def _word_counts(rows: DataFrame, shards: int) -> tuple[int, int]:
     """Training tokens and different training words, exactly."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, _ = _tokens(batch.column("text"))
-            words, counts = np.unique(tokens, return_counts=True)
+        for words, counts in _tallies(batches):
             shard = (mixed(words, 5) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])) if len(order) else []
