@@ -262,7 +262,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = staged(rows.mapInArrow(_sign, _SIGNED), "signed")
     prints = ["n_shingles", "print1", "print2"]
-    classes = signed.where("n_shingles > 0").groupBy(*prints).agg(F.min("id").alias("first"))
+    classes = staged(signed.where("n_shingles > 0").groupBy(*prints).agg(F.min("id").alias("first")), "classes")
     firsts = staged(
         signed.join(classes, prints).where("id = first").dropDuplicates(["id"]).select("id", "n_shingles", "sketch", "halves"),
         "firsts",
@@ -277,7 +277,9 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     more = _left_over(stars, links, firsts, sets)
     links = components(links.unionByName(more)).withColumnsRenamed({"a": "node", "b": "low"})
     # A key whose rows differ in text is one node, so all of its classes meet.
+    # It is written, so the last join is one of two plain tables, in which Spark splits a large class.
     known = classes.join(links, F.col("first") == F.col("node"), "left").select(*prints, F.coalesce("low", "first").alias("low"))
+    known = staged(known, "known")
     alone = F.col("n_shingles") == 0
     component = F.when(alone, F.col("id")).otherwise(F.col("low"))
     return signed.select("id", *prints).join(known, prints, "left").select(
