@@ -43,7 +43,8 @@ SPLIT = 16
 #: Documents sampled (about) to tell frequent words.
 SAMPLE = 2_000
 DISCOUNT = 0.75
-#: Probabilities are kept as 1..255 steps of a logarithm from 0 down; 0: no successor.
+#: Probabilities are kept as 1 and more steps of a logarithm from 0 down; 0: no successor. A count of
+#: 2^63 gives 627 steps, so 16 bits hold every probability; they travel in 8 where these are enough.
 STEP = 1 / 32
 
 _END = np.uint64(0x656E646F66746578)
@@ -134,7 +135,8 @@ class Block:
         answers = {r["shard"]: r for r in replies.to_pylist()}
         rows = [answers[int(self.shard[a])] for a in self.places[:-1]]
         read = lambda name, kind: np.frombuffer(b"".join(r[name] for r in rows), kind)
-        entry_count, followers, codes = read("counts", np.int64), read("followers", np.int64), read("codes", np.uint8)
+        entry_count, followers = read("counts", np.int64), read("followers", np.int64)
+        codes = np.concatenate([np.zeros(0, np.int64), *(_unpacked(r["codes"]) for r in rows)])
         count = np.zeros(self.n, np.int64)
         count[self.owner] = entry_count  # the same for all entries of a word
         varied = np.bincount(self.owner, followers, self.n)
@@ -170,13 +172,14 @@ class Trie:
         """``words``: sorted keys; ``pairs``: sorted, the place of the context before the successor's hash."""
         context = (pairs >> _SUCCESSOR_BITS).astype(np.int64)
         share = np.maximum(pair_counts - DISCOUNT, 0) / np.maximum(counts[context], 1)
-        steps = np.ceil(-np.log10(np.clip(share, 1e-7, 1)) / STEP)  # rounded down in probability
+        held = share > 0
+        steps = np.ceil(-np.log10(np.where(held, share, 1)) / STEP)  # rounded down in probability
         levels = [
             EliasFano.encode(words, 1 << 64),
             EliasFano.encode(np.searchsorted(context, np.arange(len(words) + 1)).astype(np.uint64)),
             EliasFano.encode(pairs, len(words) << int(_SUCCESSOR_BITS)),
             counts.astype(np.int64).tobytes(),
-            (np.minimum(steps, 254) + 1).astype(np.uint8).tobytes(),
+            np.where(held, steps + 1, 0).astype(np.uint16).tobytes(),
         ]
         data = mmap.mmap(-1, max(1, sum(map(len, levels))))
         for level in levels:
@@ -188,14 +191,14 @@ class Trie:
         self.pointers = EliasFano(data, self.words.end)
         self.successors = EliasFano(data, self.pointers.end)
         self.counts = np.frombuffer(data, np.int64, self.words.size, self.successors.end)
-        self.codes = np.frombuffer(data, np.uint8, self.successors.size, self.successors.end + self.counts.nbytes)
+        self.codes = np.frombuffer(data, np.uint16, self.successors.size, self.successors.end + self.counts.nbytes)
 
     def successor(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
         """The quantised probability of each successor after the word at each place; 0 if it was never seen there."""
         pointers = self.pointers.decode().astype(np.int64)
         keys = context.astype(np.uint64) << _SUCCESSOR_BITS | successor
         at = self.successors.find(keys, pointers[context], pointers[context + 1])
-        return np.where(at >= 0, self.codes[np.maximum(at, 0)] if len(self.codes) else 0, 0).astype(np.uint8)
+        return np.where(at >= 0, self.codes[np.maximum(at, 0)] if len(self.codes) else 0, 0).astype(np.uint16)
 
 
 def _answer(group: pa.Table) -> pa.Table:
@@ -223,7 +226,7 @@ def _answer(group: pa.Table) -> pa.Table:
             "shard": pa.array([r["shard"] for r in rows], pa.int64()),
             "counts": [trie.counts[own].tobytes() for own in places],
             "followers": [followers[own].astype(np.int64).tobytes() for own in places],
-            "codes": [trie.successor(context, successor).tobytes() for context, successor, _ in asked],
+            "codes": [_packed(trie.successor(context, successor)) for context, successor, _ in asked],
         }
     )
 

@@ -130,6 +130,31 @@ def test_trie_rounds_down_and_finds_successors():
         assert exact * 10**-lm_scoring.STEP * 0.999 <= got <= exact
 
 
+def test_probabilities_of_very_frequent_contexts_are_not_raised():
+    times, n = 10**9, 300
+    words, pairs = np.array([3, 9], np.uint64), np.arange(n, dtype=np.uint64)
+    counts = np.append(np.ones(n - 1, np.int64), times - n + 1)
+    trie = lm_scoring.Trie.build(words, np.array([times, 1 << 62]), np.append(pairs, np.uint64((1 << 28) | 1)), np.append(counts, 1))
+    codes = trie.successor(np.append(np.zeros(n, int), 1), np.append(pairs, np.uint64(1)))
+    chances = 10.0 ** (-(codes.astype(float) - 1) * lm_scoring.STEP)
+    exact = np.append((counts - lm_scoring.DISCOUNT) / times, (1 - lm_scoring.DISCOUNT) / (1 << 62))
+    assert (codes > 0).all() and (chances <= exact * (1 + 1e-9)).all() and (chances >= exact * 10**-lm_scoring.STEP * 0.999).all()
+    assert chances[:-1].sum() <= 1
+
+    # through messages and replies, with every training count so much larger
+    texts = pa.array(["a b a c", "a d"])
+    block = lm_scoring.Block(texts, np.array([True, True]), np.zeros(0, np.uint64), 1)
+    block.counts, once = block.counts * times, lm_scoring.DISCOUNT
+    reply = lm_scoring._answer(pa.Table.from_batches(block.messages(0)))
+    found = block.scores(reply, 8 * times, 5)[3]
+    # counts of a pair stay 1, those of its context are times its own: a 3, the end 2, b, c and d 1
+    one = lambda c: (c * times + 1) / (8 * times + 6)
+    chance = lambda c, follow, of: math.log10((1 - once) / (c * times) + once * follow / (c * times) * one(of))
+    begin = math.log10((2 - once) / (2 * times) + once / (2 * times) * one(3))
+    want = [begin + chance(3, 3, 1) + chance(1, 1, 3) + chance(3, 3, 1) + chance(1, 1, 2), begin + chance(3, 3, 1) + chance(1, 1, 2)]
+    assert all(w - 5 * lm_scoring.STEP <= g <= w + 1e-6 for g, w in zip(found, want))
+
+
 def sentences(lang, rng, n):
     stems = {"en": "the and thing house with from street", "de": "der und nicht schön straße über haus", "fr": "le et été où français avec maison"}[lang]
     return " ".join(rng.choice(stems.split()) + rng.choice(["", "s", "en", ","]) for _ in range(n))
