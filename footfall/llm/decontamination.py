@@ -1,19 +1,22 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, queried by every passage.
 
 Test items are indexed; passages (windows of words, each half overlapping the next) are the
-queries. An item's threshold is the least score of any passage that holds three quarters of
-its five-word shingles, so retrieving all above it loses none. Weights are divided by it, so
+queries. A leak is a passage with three quarters of the five-word shingles of the item, of its
+question or of its answer (a part of less than ``LEAST_PART`` words counts with the item only).
+An item's threshold is the least score of any passage that the rule allows, so retrieving all
+above it loses none. Weights are divided by it, so
 1 is everybody's threshold. Block-max WAND in numpy, for all passages of a block of texts at
 once: a passage goes on if the maxima of its terms reach 1, then to those blocks of items
-whose maxima reach 1, and only there are items scored. What is retrieved is verified on
-shingles of question and answer.
+whose maxima reach 1, and only there are items scored. What is retrieved is verified on the
+shingles of item, question and answer.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ K1, B = 1.2, 0.75
 #: Items in a block of the index; least words of a passage.
 BLOCK = 16
 LEAST_PASSAGE = 64
+#: Words from which on a question or an answer is a leak without the other.
+LEAST_PART = 16
 
 _SCHEMA = "item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 _SENTENCE = re.compile(r"(?<=[.?!\n])\s+(?=\S)")
@@ -59,6 +64,7 @@ class Index:
     whole: list[tuple[int, np.ndarray]]
     question: list[tuple[int, np.ndarray]]
     answer: list[tuple[int, np.ndarray]]
+    alone: list[tuple[bool, bool, bool]]
     half: int
 
 
@@ -75,7 +81,7 @@ def _words(texts: list[str]) -> list[np.ndarray]:
 
 
 def _least_score(words: np.ndarray, weights: dict[int, float], overlap: float) -> float:
-    """What a passage with the share ``overlap`` of the item's shingles scores at least.
+    """What a passage with the share ``overlap`` of the shingles of an item or its part scores at least.
 
     A word is lost only with all shingles that hold it, and a lost shingle holds five words at most;
     the greatest loss is bounded by filling that room with the words that weigh most.
@@ -115,9 +121,14 @@ def build_index(items: list[tuple[int, str]], overlap: float = OVERLAP) -> Index
     df = np.bincount(term, minlength=len(terms))
     idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
     weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[item] / lengths.mean()))
-    thresholds = np.array(
-        [_least_score(w, dict(zip(terms[term[item == k]].tolist(), weight[item == k].tolist())), overlap) for k, w in enumerate(words)]
-    )
+    questions, answers = (_words([p[k] for p in parts]) for k in range(2))
+
+    def least(k: int) -> float:
+        own = dict(zip(terms[term[item == k]].tolist(), weight[item == k].tolist()))
+        found = [words[k], *(p[k] for p in (questions, answers) if len(p[k]) >= LEAST_PART)]
+        return min(_least_score(w, {t: own.get(t, 0.0) for t in w.tolist()}, overlap) for w in found)
+
+    thresholds = np.array([least(k) for k in range(len(items))])
     thresholds = np.maximum(thresholds * (1 - 1e-6), 1e-9)
     weight = weight / thresholds[item]
     order = np.lexsort((item, term))
@@ -137,8 +148,9 @@ def build_index(items: list[tuple[int, str]], overlap: float = OVERLAP) -> Index
         most=np.maximum.reduceat(weight, starts(term)[:-1]),
         thresholds=thresholds,
         whole=[_runs(w) for w in words],
-        question=[_runs(w) for w in _words([q for q, _ in parts])],
-        answer=[_runs(w) for w in _words([a for _, a in parts])],
+        question=[_runs(w) for w in questions],
+        answer=[_runs(w) for w in answers],
+        alone=[(True, len(q) >= LEAST_PART, len(a) >= LEAST_PART) for q, a in zip(questions, answers)],
         half=int(max(LEAST_PASSAGE // 2, lengths.max())),
     )
 
@@ -193,22 +205,23 @@ def retrieve(index: Index, words: np.ndarray, bounds: np.ndarray) -> tuple[np.nd
     return row, bounds[row] + (passage - first[row]) * index.half, item, score
 
 
-def _share(part: tuple[int, np.ndarray], passage: np.ndarray) -> float:
-    """The share of a part's runs that stand in the passage; all of a part without words."""
+def _share(part: tuple[int, np.ndarray], held: Callable[[int], np.ndarray]) -> float:
+    """The share of a part's runs that stand among those held of its size; all of a part without words."""
     size, runs = part
-    return float(np.isin(runs, shingles(passage, size)).mean()) if size else 1.0
+    return float(np.isin(runs, held(size)).mean()) if size else 1.0
 
 
 def _leaks_of(index: Index, overlap: float, texts: pa.Array) -> Iterator[tuple[int, int, float, float, float, float]]:
     """Row, item, BM25 score and overlaps of verified leaks: the best passage of each pair."""
     for row, words, bounds in word_blocks(texts):
         best: dict[tuple[int, int], tuple] = {}
+        runs = lru_cache(16)(lambda begin, end, size, words=words: shingles(words[begin:end], size))
         for r, begin, item, score in zip(*(x.tolist() for x in retrieve(index, words, bounds))):
-            passage = words[begin : min(begin + 2 * index.half, bounds[r + 1])]
-            share = _share(index.whole[item], passage)
-            if share >= overlap:
-                parts = _share(index.question[item], passage), _share(index.answer[item], passage)
-                result = (share, score * index.thresholds[item], *parts)
+            end = min(begin + 2 * index.half, int(bounds[r + 1]))
+            held = lambda size: runs(begin, end, size)  # noqa: B023, E731
+            shares = [_share(part[item], held) for part in (index.whole, index.question, index.answer)]
+            if any(alone and share >= overlap for alone, share in zip(index.alone[item], shares)):
+                result = (shares[0], score * index.thresholds[item], *shares[1:])
                 best[r, item] = max(best.get((r, item), result), result)
         for (r, item), (share, score, question, answer) in sorted(best.items()):
             yield row + r, index.items[item], score, share, question, answer
@@ -217,9 +230,9 @@ def _leaks_of(index: Index, overlap: float, texts: pa.Array) -> Iterator[tuple[i
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", overlap: float = OVERLAP) -> DataFrame:
     """One row per document and test item that leaked into it: key, ``item_id``, ``score``, overlaps.
 
-    ``overlap`` is the greatest share of the item's five-word shingles in one passage (0.75 at
-    least), beside the shares of its question and its answer there; ``score`` is that passage's
-    BM25 score. Documents and items without words (or null) leak nothing. An item of fewer
+    ``overlap`` is the greatest share of the item's five-word shingles in one leaking passage,
+    beside the shares of its question and its answer there; the first, or that of a part of
+    ``LEAST_PART`` words or more, is 0.75 at least. ``score`` is that passage's BM25 score. Documents and items without words (or null) leak nothing. An item of fewer
     than five words leaks where its whole sequence stands. Repeated documents are reported each,
     as are repeated items; null keys are carried. Empty tables give no rows; further columns are ignored.
     """

@@ -232,6 +232,44 @@ def test_leaks(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in docs if i not in {r.doc_id for r in got})
 
 
+def test_question_or_answer_alone_is_a_leak(spark):
+    rng = random.Random(13)
+    prose = lambda n: " ".join(f"v{rng.randrange(400)}" for _ in range(n))
+    sizes = [(30, 30), (60, 20), (20, 60), (30, 6), (16, 40), (40, 16), (6, 30), (10, 10)]
+    parts = [(prose(q) + ".", prose(a) + ".") for q, a in sizes]
+    docs, want = [], set()
+    for i, (question, answer) in enumerate(parts):
+        for k, text in enumerate([question, answer, question + " " + answer, question + " " + prose(30), prose(30) + " " + answer]):
+            docs.append((10 * i + k, prose(150) + "\n" + text + " " + prose(150)))
+            least = decontamination.LEAST_PART
+            if k == 2 or sizes[i][k % 2 if k < 2 else k - 3] >= least:
+                want.add((10 * i + k, i))
+    table = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(parts)], "item_id long, text string")
+    got = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), table).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    for r in got:
+        question, answer = r.question_overlap == 1, r.answer_overlap == 1
+        assert (question, answer) == {0: (True, False), 1: (False, True), 2: (True, True), 3: (True, False), 4: (False, True)}[r.doc_id % 10]
+
+
+def test_no_part_with_three_quarters_is_below_its_threshold():
+    rng = random.Random(14)
+    prose = lambda n: " ".join(f"t{min(rng.randrange(60), rng.randrange(60))}" for _ in range(n))
+    items = [(i, prose(rng.randint(1, 40)) + ". " + prose(rng.randint(1, 40)) + ".") for i in range(50)]
+    index, tried = decontamination.build_index(items), 0
+    for k, (_, text) in enumerate(items):
+        for part in decontamination.question_and_answer(text):
+            found, want = f.words(part), f.runs(part)
+            for _ in range(20):
+                kept = " ".join(w if rng.random() < 0.95 else f"gone{rng.random()}" for w in found)
+                if len(found) < decontamination.LEAST_PART or len(want & f.runs(kept)) < 0.75 * len(want):
+                    continue
+                _, words, bounds = next(word_blocks(pa.array([kept])))
+                assert k in decontamination.retrieve(index, words, bounds)[2]
+                tried += 1
+    assert tried > 100
+
+
 def test_leaks_from_several_indexes(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "MAX_ITEMS", 4)
     rng = random.Random(10)
