@@ -87,6 +87,7 @@ def _blocks(texts: pa.Array, span: int) -> Iterator[tuple[np.ndarray, list[int],
     """Bytes, row numbers, ends in the bytes and shifts into the texts.
 
     Texts beyond a block are cut so that each window is in one piece. Texts without a window are left out.
+    No more bytes are given out at a time than a place can count.
     """
     rows, parts, shifts, total = [], [], [], 0
 
@@ -99,10 +100,14 @@ def _blocks(texts: pa.Array, span: int) -> Iterator[tuple[np.ndarray, list[int],
             continue
         data = np.frombuffer(text, np.uint8)
         for at in range(0, len(data) - span + 1, _BLOCK):
+            piece = data[at : at + _BLOCK + span - 1]
+            if parts and total + len(piece) > int(_PLACE):
+                yield out()
+                rows, parts, shifts, total = [], [], [], 0
             rows.append(row)
-            parts.append(data[at : at + _BLOCK + span - 1])
+            parts.append(piece)
             shifts.append(at)
-            total += len(parts[-1])
+            total += len(piece)
             if total > _BLOCK:
                 yield out()
                 rows, parts, shifts, total = [], [], [], 0

@@ -133,6 +133,25 @@ def test_suffixes_of_cut_texts_cover_every_window(monkeypatch):
     assert whole == cut and sorted(whole) == list(range(2951))
 
 
+def test_suffixes_do_not_depend_on_the_texts_before():
+    pa = pytest.importorskip("pyarrow")
+    rng = np.random.RandomState(6)
+    texts = [rng.randint(97, 123, n, np.uint8).tobytes() for n in (1 << 19, (1 << 19) + 700)]
+    blocks = list(suffix_dedup._blocks(pa.array(texts, pa.binary()), 200))
+    assert max(len(data) for data, *_ in blocks) < 1 << 20
+
+    def found(blocks, refs):
+        out = set()
+        for data, rows, ends, shifts in blocks:
+            token, body, piece, *places = suffix_dedup.suffixes(data, ends, 200, 100)
+            back = (shifts - np.append(0, ends[:-1]))[piece]
+            out |= set(zip(*(x.tolist() for x in (token, body, np.array(refs)[np.array(rows)[piece]], *(p + back for p in places)))))
+        return out
+
+    alone = [found(suffix_dedup._blocks(pa.array([t], pa.binary()), 200), [k]) for k, t in enumerate(texts)]
+    assert found(blocks, [0, 1]) == alone[0] | alone[1]
+
+
 def test_multikey_order_and_buckets():
     rng = np.random.RandomState(4)
     keys = [rng.randint(0, 4, 500).astype(np.uint64) for _ in range(3)]
