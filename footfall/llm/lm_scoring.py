@@ -48,12 +48,18 @@ DISCOUNT = 0.75
 STEP = 1 / 32
 
 _END = np.uint64(0x656E646F66746578)
-_SUCCESSOR_BITS = np.uint64(28)
+#: Bits of a successor's hash, at least and at most; the others of 64 hold the place of its context in a shard.
+_SUCCESSOR_BITS, _MOST_BITS = np.uint64(28), np.uint64(40)
 _MESSAGE = "shard long, block long, words binary, word_counts binary, pairs binary, pair_counts binary"
 _REPLY = "block long, shard long, counts binary, followers binary, codes binary"
 _SCORED = "n_tokens long, n_known long, known_log double, score double"
 
 
+def _successor_bits(size: int) -> np.uint64:
+    """More bits for a corpus of more bytes, as a context has more successors there."""
+    return np.uint64(min(int(_MOST_BITS), max(int(_SUCCESSOR_BITS), size.bit_length() + 8)))
+
+
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts, each followed by the end token, and the end of each text."""
     parts, sizes = [], []
@@ -73,7 +79,7 @@ def _entry(words: np.ndarray, sub: np.ndarray | int) -> np.ndarray:
 class Block:
     """The words and bigrams of some documents, in the order in which shards are asked."""
 
-    def __init__(self, texts: pa.Array, training: np.ndarray, frequent: np.ndarray, shards: int):
+    def __init__(self, texts: pa.Array, training: np.ndarray, frequent: np.ndarray, shards: int, bits: np.uint64 = _SUCCESSOR_BITS):
         tokens, self.ends = _tokens(texts)
         sizes = np.diff(np.append(0, self.ends))
         counted = np.repeat(training, sizes)
@@ -102,14 +108,14 @@ class Block:
         place = np.flatnonzero(np.append(True, self.shard[1:] != self.shard[:-1])) if len(keys) else np.zeros(0, np.int64)
         self.places = np.append(place, len(keys))
         start = self.places[np.searchsorted(place, entry, "right") - 1] if n else entry
-        relative = (entry - start).astype(np.uint64) << _SUCCESSOR_BITS | words[successor] >> (np.uint64(64) - _SUCCESSOR_BITS)
+        relative = (entry - start).astype(np.uint64) << bits | words[successor] >> (np.uint64(64) - bits)
         by = np.lexsort((relative, self.shard[entry])) if n else entry
         self.pair_place = np.empty(len(by), np.int64)
         self.pair_place[by] = np.arange(len(by))
         self.pair_keys, self.pair_counts = relative[by], pair_count[by]
         self.pair_places = np.searchsorted(self.shard[entry][by], self.shard[place]) if n else place
         self.pair_places = np.append(self.pair_places, len(by))
-        self.n, self.first_owner = n, first_entry
+        self.n, self.first_owner, self.bits = n, first_entry, bits
         self.context = context
 
     def messages(self, block: int) -> Iterator[pa.RecordBatch]:
@@ -122,7 +128,7 @@ class Block:
                     block,
                     EliasFano.encode(self.keys[a:b]),
                     _packed(self.counts[a:b]),
-                    EliasFano.encode(self.pair_keys[c:d], int(b - a) << int(_SUCCESSOR_BITS)),
+                    EliasFano.encode(self.pair_keys[c:d], int(b - a) << int(self.bits)),
                     _packed(self.pair_counts[c:d]),
                 )
             )
@@ -168,25 +174,26 @@ class Trie:
     """One shard of the trie, read from a memory map."""
 
     @staticmethod
-    def build(words: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray) -> Trie:
-        """``words``: sorted keys; ``pairs``: sorted, the place of the context before the successor's hash."""
-        context = (pairs >> _SUCCESSOR_BITS).astype(np.int64)
+    def build(words: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, bits: np.uint64 = _SUCCESSOR_BITS) -> Trie:
+        """``words``: sorted keys; ``pairs``: sorted, the place of the context before the ``bits`` of the successor's hash."""
+        context = (pairs >> bits).astype(np.int64)
         share = np.maximum(pair_counts - DISCOUNT, 0) / np.maximum(counts[context], 1)
         held = share > 0
         steps = np.ceil(-np.log10(np.where(held, share, 1)) / STEP)  # rounded down in probability
         levels = [
             EliasFano.encode(words, 1 << 64),
             EliasFano.encode(np.searchsorted(context, np.arange(len(words) + 1)).astype(np.uint64)),
-            EliasFano.encode(pairs, len(words) << int(_SUCCESSOR_BITS)),
+            EliasFano.encode(pairs, len(words) << int(bits)),
             counts.astype(np.int64).tobytes(),
             np.where(held, steps + 1, 0).astype(np.uint16).tobytes(),
         ]
         data = mmap.mmap(-1, max(1, sum(map(len, levels))))
         for level in levels:
             data.write(level)
-        return Trie(data)
+        return Trie(data, bits)
 
-    def __init__(self, data):
+    def __init__(self, data, bits: np.uint64 = _SUCCESSOR_BITS):
+        self.bits = bits
         self.words = EliasFano(data)
         self.pointers = EliasFano(data, self.words.end)
         self.successors = EliasFano(data, self.pointers.end)
@@ -196,12 +203,12 @@ class Trie:
     def successor(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
         """The quantised probability of each successor after the word at each place; 0 if it was never seen there."""
         pointers = self.pointers.decode().astype(np.int64)
-        keys = context.astype(np.uint64) << _SUCCESSOR_BITS | successor
+        keys = context.astype(np.uint64) << self.bits | successor
         at = self.successors.find(keys, pointers[context], pointers[context + 1])
         return np.where(at >= 0, self.codes[np.maximum(at, 0)] if len(self.codes) else 0, 0).astype(np.uint16)
 
 
-def _answer(group: pa.Table) -> pa.Table:
+def _answer(group: pa.Table, bits: np.uint64 = _SUCCESSOR_BITS) -> pa.Table:
     """Add the counts of all blocks, build the shard's trie, answer each block."""
     rows = group.to_pylist()
     keys = [EliasFano(r["words"]).decode() for r in rows]
@@ -209,17 +216,19 @@ def _answer(group: pa.Table) -> pa.Table:
     words, place = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.bincount(place, np.concatenate([_unpacked(r["word_counts"]) for r in rows]), len(words)).astype(np.int64)
     places = np.split(place, np.cumsum(sizes)[:-1])
-    mask = (np.uint64(1) << _SUCCESSOR_BITS) - np.uint64(1)
+    if len(words) > 1 << 64 - int(bits):
+        raise ValueError(f"{len(words)} words in a shard, whose places have {64 - int(bits)} bits")
+    mask = (np.uint64(1) << bits) - np.uint64(1)
     asked = []
     for row, own in zip(rows, places):
         pairs = EliasFano(row["pairs"]).decode()
-        context = own[(pairs >> _SUCCESSOR_BITS).astype(np.int64)]
+        context = own[(pairs >> bits).astype(np.int64)]
         asked.append((context, pairs & mask, _unpacked(row["pair_counts"])))
-    trained = [((c.astype(np.uint64) << _SUCCESSOR_BITS | s)[n > 0], n[n > 0]) for c, s, n in asked]
+    trained = [((c.astype(np.uint64) << bits | s)[n > 0], n[n > 0]) for c, s, n in asked]
     pairs, back = np.unique(np.concatenate([p for p, _ in trained]), return_inverse=True)
     pair_counts = np.bincount(back, np.concatenate([n for _, n in trained]), len(pairs)).astype(np.int64)
-    trie = Trie.build(words, counts, pairs, pair_counts)
-    followers = np.bincount((pairs >> _SUCCESSOR_BITS).astype(np.int64), minlength=len(words))
+    trie = Trie.build(words, counts, pairs, pair_counts, bits)
+    followers = np.bincount((pairs >> bits).astype(np.int64), minlength=len(words))
     return pa.table(
         {
             "block": pa.array([r["block"] for r in rows], pa.int64()),
@@ -297,26 +306,30 @@ def score_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     rows = docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")).withColumn("training", ~held_out(7))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     blocks, shards = 1 + size // BLOCK_BYTES, 1 + size // SHARD_BYTES
+    bits = _successor_bits(size)
     total, different = _word_counts(rows, shards)
     frequent = _frequent(rows, shards)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def block_of(group: pa.Table) -> Block:
         training = group.column("training").to_numpy()
-        return Block(group.column("text").combine_chunks(), training, frequent, shards)
+        return Block(group.column("text").combine_chunks(), training, frequent, shards, bits)
 
     def ask(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         names = [x.split()[0] for x in _MESSAGE.split(", ")]
         batches = list(block_of(group).messages(key[0].as_py()))
         return pa.Table.from_batches(batches).select(names)
 
+    def answer(group: pa.Table) -> pa.Table:
+        return _answer(group, bits)
+
     def score(group: pa.Table, replies: pa.Table) -> pa.Table:
         n, known, logs, chance = block_of(group).scores(replies, total, different) if group.num_rows else ([],) * 4
         columns = [group.column("doc_id"), group.column("training"), n, known, logs, chance]
         return pa.table(columns, names=["doc_id", "training", "n_tokens", "n_known", "known_log", "score"])
 
     messages = rows.groupBy("block").applyInArrow(ask, _MESSAGE)
-    replies = messages.groupBy("shard").applyInArrow(_answer, _REPLY)
+    replies = messages.groupBy("shard").applyInArrow(answer, _REPLY)
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, f"doc_id {kind}, training boolean, {_SCORED}")
     base = F.col("known_log") - F.col("n_tokens") * float(np.log10(total + different + 1))

@@ -155,6 +155,23 @@ def test_probabilities_of_very_frequent_contexts_are_not_raised():
     assert all(w - 5 * lm_scoring.STEP <= g <= w + 1e-6 for g, w in zip(found, want))
 
 
+def test_successors_with_equal_first_bits_are_told_apart(monkeypatch):
+    assert [int(lm_scoring._successor_bits(s)) for s in (0, 1 << 10, 1 << 29, 1 << 45)] == [28, 28, 38, 40]
+    context, seen = np.uint64(77 << 40), np.uint64(5 << 40)
+    unseen = seen + np.uint64(1 << 30)  # differs in bit 34 of 64 from above
+    tokens = np.array([context, seen, lm_scoring._END, context, unseen, lm_scoring._END], np.uint64)
+    monkeypatch.setattr(lm_scoring, "_tokens", lambda texts: (tokens, np.array([3, 6])))
+
+    def seen_pairs(bits):
+        block = lm_scoring.Block(pa.array(["", ""]), np.array([True, False]), np.zeros(0, np.uint64), 1, bits)
+        reply = lm_scoring._answer(pa.Table.from_batches(block.messages(0)), bits)
+        return int((lm_scoring._unpacked(reply.column("codes")[0].as_py()) > 0).sum())
+
+    # three pairs of the first text; 28 bits take the unseen one for a fourth
+    assert seen_pairs(np.uint64(28)) == 4
+    assert [seen_pairs(lm_scoring._successor_bits(s)) for s in (1 << 29, 1 << 45)] == [3, 3]
+
+
 def sentences(lang, rng, n):
     stems = {"en": "the and thing house with from street", "de": "der und nicht schön straße über haus", "fr": "le et été où français avec maison"}[lang]
     return " ".join(rng.choice(stems.split()) + rng.choice(["", "s", "en", ","]) for _ in range(n))
