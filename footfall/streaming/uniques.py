@@ -36,7 +36,8 @@ def first_of_day(log: DataFrame, dims: list[str], job_day: Column, identity: str
     """A stream of the first record of each identity per dims; state leaves with the watermark.
 
     ``job_day`` is the day a record arrived. Records of another day are moved to it first, so
-    none comes after its day's state has gone, and none is dropped as late.
+    none comes after its day's state has gone, as long as input is read in order of arrival. A
+    record read more than ``delay`` of arrival behind the newest is dropped.
     """
     keys = [*dims, identity]
     slim = enrich.align_day(log, job_day).select("et", *keys)
