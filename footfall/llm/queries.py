@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm import (
     chat_quotes,
+    conversation_repair,
     decontamination,
     exact_dedup,
     language_id,
@@ -218,3 +219,73 @@ select x.conv_id, x.turn, x.role, coalesce(passages, 0) as passages, coalesce(li
   '<|' || coalesce(x.role, 'unknown') || '|>' || chr(10) ||
   regexp_replace(regexp_replace(t, '(?m)^[ \t]*>[^\n]*\n?', '', 'g'), '^[ \t\n\v\f\r]+|[ \t\n\v\f\r]+$', '', 'g') as formatted
 from messages x left join answers using (m) left join roots r on r.conv_id = x.conv_id and r.turn = x.turn"""
+
+
+@_query
+def op11_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit_report(rows, F.col("copies"))
+
+
+ORACLES["op11_conversation_structure_repair"] = r"""
+with recursive hurt as (
+  select *, crc % 20 as fate from (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+      -- crc32 by its definition: bits of the key from the lowest, polynomial 0xEDB88320
+      xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(k)) * 8), lambda i:
+          ((ord(k[(i // 8 + 1)::bigint]) >> (i % 8)) & 1)::bigint)),
+        lambda c, b: case when xor(c, b) & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end), 4294967295::bigint) as crc
+    from (select *, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations))),
+rows_ as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+    case fate when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case fate when 0 then 0 when 3 then 2 else 1 end)) as copy from hurt),
+placed as (
+  select *, row_number() over w as pos, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen,
+    lag(role) over w as before
+  from rows_ window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
+faults as (
+  select *, case when not regexp_matches(text, '[^ 	-]') then 'blank' when seen > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' else 'none' end as fault,
+    case when role[1] in ('s', 'u', 'a') then role[1] else 'o' end as r from placed),
+sizes as (select conv_id, max(pos) as n from faults group by conv_id),
+walk(conv_id, pos, b0, b1, b2, b3) as (
+  select conv_id, 0::bigint, {'c': 0, 'a': ''}, {'c': 1000000, 'a': ''}, {'c': 1000000, 'a': ''}, {'c': 1000000, 'a': ''} from sizes
+  union all
+  select conv_id, pos,
+    {'c': e0.c + 4, 'a': e0.a || 'D'},
+    least({'c': e1.c + 4, 'a': e1.a || 'D'}, case when not gone and r = 's' then {'c': e0.c + t, 'a': e0.a || 'K'} else {'c': 1000000, 'a': ''} end),
+    least({'c': e2.c + 4, 'a': e2.a || 'D'}, case when gone then {'c': 1000000, 'a': ''} else {'c': toward_u.c + t + ku, 'a': toward_u.a || case ku when 0 then 'K' else 'R' end} end),
+    least({'c': e3.c + 4, 'a': e3.a || 'D'}, case when gone then {'c': 1000000, 'a': ''} else {'c': e2.c + t + ka, 'a': e2.a || case ka when 0 then 'K' else 'R' end} end)
+  from (
+    select *, least(e0, e1, e3) as toward_u from (
+      select *, least(b3, {'c': e2.c + 3, 'a': e2.a || 'I'}) as e3 from (
+        select w.conv_id, f.pos, b0 as e0, b1 as e1, b3, f.r, fault in ('blank', 'duplicate') as gone,
+          case when fault = 'truncated' then 3 else 0 end as t, case when r = 'u' then 0 else 3 end as ku, case when r = 'a' then 0 else 3 end as ka,
+          least(b2, {'c': b0.c + 3, 'a': b0.a || 'I'}, {'c': b1.c + 3, 'a': b1.a || 'I'}, {'c': b3.c + 3, 'a': b3.a || 'I'}) as e2
+        from walk w join faults f on f.conv_id is not distinct from w.conv_id and f.pos = w.pos + 1)))),
+done as (
+  select conv_id, least(b0, b3, {'c': e2.c + 3, 'a': e2.a || 'I'}) as best from (
+    select w.*, least(b2, {'c': b0.c + 3, 'a': b0.a || 'I'}, {'c': b1.c + 3, 'a': b1.a || 'I'}, {'c': b3.c + 3, 'a': b3.a || 'I'}) as e2
+    from walk w join sizes s on s.conv_id is not distinct from w.conv_id and w.pos = s.n)),
+edits as (
+  select conv_id, op, e, count(*) filter (where op <> 'I') over w as pos, count(*) filter (where op <> 'D') over w as place,
+    count(*) filter (where op <> 'D') over (partition by conv_id) as kept
+  from (select conv_id, unnest(string_split(best.a, '')) as op, generate_subscripts(string_split(best.a, ''), 1) as e from done where best.a <> '')
+  window w as (partition by conv_id order by e)),
+said as (
+  select x.conv_id, string_agg(case op when 'K' then role else case when (place + kept) % 2 = 1 then 'user' else 'assistant' end end
+      || ':' || case op when 'I' then '' else text end, chr(10) order by e) as said
+  from edits x left join faults f on f.conv_id is not distinct from x.conv_id and f.pos = x.pos and x.op <> 'I' where op <> 'D' group by x.conv_id),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where before is not null and before[1] || role[1] not in ('su', 'ua', 'au')) as illegal
+  from faults group by conv_id)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(best.c, 0) as bigint) as cost, coalesce(best.a, '') as audit,
+  sha256(coalesce(said, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join counts k on k.conv_id is not distinct from c.conv_id left join done d on d.conv_id is not distinct from c.conv_id
+left join said s on s.conv_id is not distinct from c.conv_id"""
