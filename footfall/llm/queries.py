@@ -16,6 +16,7 @@ from footfall.llm import (
     lm_scoring,
     mixing,
     near_dedup,
+    source_divergence,
     suffix_dedup,
     token_counts,
     url_rules,
@@ -245,8 +246,10 @@ placed as (
     lag(role) over w as before
   from rows_ window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
 faults as (
-  select *, case when not regexp_matches(text, '[^ 	-]') then 'blank' when seen > 1 then 'duplicate'
-      when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' else 'none' end as fault,
+  select *, case when not regexp_matches(text, '[^ 	-
+]') then 'blank' when seen > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][ 	-
+]*$') then 'truncated' else 'none' end as fault,
     case when role[1] in ('s', 'u', 'a') then role[1] else 'o' end as r from placed),
 sizes as (select conv_id, max(pos) as n from faults group by conv_id),
 walk(conv_id, pos, b0, b1, b2, b3) as (
@@ -289,3 +292,37 @@ select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coales
 from (select distinct conv_id from conversations) c
 left join counts k on k.conv_id is not distinct from c.conv_id left join done d on d.conv_id is not distinct from c.conv_id
 left join said s on s.conv_id is not distinct from c.conv_id"""
+
+
+@_query
+def op12_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence_audit"] = r"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents),
+uses as (select d, lang, source, term, count(*) as n from (select d, lang, source, unnest(w) as term from docs) group by all),
+kept as (select lang, term, cast(sum(n) as hugeint) as lang_count from uses group by lang, term having count(*) >= 30),
+langs as (select lang, count(*) as v, sum(lang_count) as lang_total from kept group by lang),
+groups as (select distinct lang, source from docs),
+cells as (
+  select g.lang, g.source, k.term, lang_count, coalesce(sum(n), 0) as c
+  from groups g join kept k using (lang) left join uses u on u.lang = g.lang and u.source = g.source and u.term = k.term group by all),
+shares as (
+  select *, cast(1 + 1000000000::hugeint * (c + 5) // (sum(c) over (partition by lang, source) + 5 * v) as bigint) as p,
+    cast(1 + 1000000000::hugeint * (lang_count + 5) // (lang_total + 5 * v) as bigint) as q
+  from cells join langs using (lang)),
+pairs as (
+  select a.lang, a.source, b.source as item, cast(coalesce(sum(abs(x.p - y.p)), 0) as bigint) as value
+  from groups a join groups b on b.lang = a.lang and b.source <> a.source
+  left join shares x on x.lang = a.lang and x.source = a.source left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all),
+terms as (select lang, source, term as item, p - q as value from shares where c > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over w as rank from pairs window w as (partition by lang, source order by value desc, encode(item))
+  union all
+  select lang, source, 'term', item, value, row_number() over w from terms window w as (partition by lang, source order by value desc, encode(item)))
+select lang, source, part, item, value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 50"""
