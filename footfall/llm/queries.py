@@ -12,6 +12,7 @@ from footfall.llm import (
     conversation_repair,
     decontamination,
     exact_dedup,
+    html_extraction,
     language_id,
     lm_scoring,
     mixing,
@@ -326,3 +327,9 @@ ranked as (
   union all
   select lang, source, 'term', item, value, row_number() over w from terms window w as (partition by lang, source order by value desc, encode(item)))
 select lang, source, part, item, value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 50"""
+
+
+@_query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages).select("page_id", "url", "text", "n_chars")

@@ -65,11 +65,8 @@ def group_sums(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = MAX_T
         named = F.transform(tokens, lambda t: F.concat(F.col("lang"), F.lit(_BREAK), t))
         rows = _tokens(docs).select("lang", "source", named.alias("terms"))
         model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=min_docs, vocabSize=VOCABULARY).setMinTF(1.0)
-        try:
-            fitted = model.fit(rows)
-        except Exception as error:  # the library refuses an empty vocabulary; nothing is kept then
-            if "vocabulary size should be > 0" not in str(error):
-                raise
+        fitted = model.fit(rows)
+        if not fitted.vocabulary:
             continue
         vectors = fitted.transform(rows).select("lang", "source", F.unwrap_udt("vector").alias("v"))
         pairs = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
