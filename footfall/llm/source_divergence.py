@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from footfall.llm.shared import ascii_lower, staged, whole_text
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between terms: ASCII other than letters.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents of its language that a kept term is in, at least.
 MIN_DOCS = 30
 #: The largest vocabulary that ``CountVectorizer`` takes as a parameter: no limit.
@@ -42,7 +43,7 @@ _BREAK = "\x00"  # no term has it, so it ends the language
 
 def _tokens(docs: DataFrame) -> DataFrame:
     known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    found = F.regexp_extract_all(ascii_lower(whole_text()), F.lit(TERM), F.lit(0))
+    found = F.array_remove(F.split(ascii_lower(whole_text()), BETWEEN), "")
     return docs.select(known("lang").alias("lang"), known("source").alias("source"), found.alias("tokens"))
 
 
