@@ -1,14 +1,16 @@
 """Source divergence audit: how far the sources of a language differ in the terms they use.
 
-``CountVectorizer`` with a least document frequency and no other limit turns documents into exact
-sparse count vectors. Terms carry their language in front, so one model holds the vocabulary of
-every language, and the least frequency holds within each. Vectors are summed per language and
-source as rows (group, term, count), never as dense arrays. Pairs of sources are compared in blocks
-of terms, each a small matrix of terms by sources. All arithmetic is on whole numbers.
-
-The model's vocabulary stands on the driver and is broadcast. The number of kept terms is counted
-first; beyond ``MAX_TERMS`` the terms are cut into slices by hash, each with a model of its own, and
-their counts are put together. A slice costs one more scan.
+Documents are exact sparse count vectors over a vocabulary per language: the terms in a least number
+of its documents, however many these are. Vectors are summed per language and source as a
+summarizer does, into each term's ``sum`` and its number of non-zero documents. The latter also
+says which terms are kept, so one scan does for vocabulary and vectors, and no vocabulary stands
+on the driver or in a broadcast. Sums are rows (group, term, count), never dense arrays. Pairs of
+sources are compared in blocks of terms, each a small matrix of terms by sources. All arithmetic
+is on whole numbers.
+
+``pyspark.ml``'s ``CountVectorizer`` (least document frequency 30, largest vocabulary) gives the same
+vectors, but holds the vocabulary on the driver, reads texts twice and takes twice the CPU time
+that is allowed; see the README.
 """
 
 from __future__ import annotations
@@ -16,9 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,17 +28,11 @@ from footfall.llm.shared import ascii_lower, staged, whole_text
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents of its language that a kept term is in, at least.
 MIN_DOCS = 30
-#: The largest vocabulary that ``CountVectorizer`` takes as a parameter: no limit.
-VOCABULARY = (1 << 31) - 1
-#: Kept terms of one model at most: what the driver and the tasks hold of it (about 100 bytes a term).
-MAX_TERMS = 2_000_000
 #: Ranks of the ``term`` part.
 TOP = 50
 SCALE, PRIOR = 1_000_000_000, 5
 #: Cells of one block of terms by sources that are compared at a time.
-CELLS = 1 << 19
-
-_BREAK = "\x00"  # no term has it, so it ends the language
+CELLS = 1 << 16
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
@@ -47,40 +41,17 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return docs.select(known("lang").alias("lang"), known("source").alias("source"), found.alias("tokens"))
 
 
-def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> int:
-    """The number of (language, term) pairs in at least ``min_docs`` documents of the language."""
-    seen = _tokens(docs).select("lang", F.explode(F.array_distinct("tokens")).alias("term"))
-    return seen.groupBy("lang", "term").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).count()
-
-
-def _slice_of(term: Column, slices: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(slices))
-
-
-def group_sums(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = MAX_TERMS) -> DataFrame:
-    """Occurrences of each kept term per group: ``lang``, ``source``, ``term``, ``count``; only counts above 0."""
-    slices = max(1, -(-kept_terms(docs, min_docs) // max_terms))
-    spark, parts = docs.sparkSession, []
-    for number in range(slices):
-        tokens = F.col("tokens") if slices == 1 else F.filter("tokens", lambda t: _slice_of(t, slices) == number)
-        named = F.transform(tokens, lambda t: F.concat(F.col("lang"), F.lit(_BREAK), t))
-        rows = _tokens(docs).select("lang", "source", named.alias("terms"))
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=min_docs, vocabSize=VOCABULARY).setMinTF(1.0)
-        fitted = model.fit(rows)
-        if not fitted.vocabulary:
-            continue
-        vectors = fitted.transform(rows).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-        pairs = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-        sums = pairs.groupBy("lang", "source", F.col("e.indices").alias("place")).agg(F.sum(F.col("e.values").cast("long")).alias("count"))
-        words = [w.rpartition(_BREAK)[2] for w in fitted.vocabulary]
-        names = spark.createDataFrame(pd.DataFrame({"place": np.arange(len(words), dtype=np.int32), "term": words}))
-        parts.append(staged(sums.join(names, "place").select("lang", "source", "term", "count"), "sums"))
-    if not parts:
-        return spark.createDataFrame([], "lang string, source string, term string, count long")
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+def vector_sums(docs: DataFrame) -> DataFrame:
+    """Sums of the documents' count vectors per group: ``lang``, ``source``, ``term``, ``count``, ``nonzeros``.
+
+    A document's terms are sorted, so that the first of equal ones is its entry of the vector, and
+    the entry's count is what comes with it. Both are added up inside the task before any shuffle.
+    """
+    rows = _tokens(docs).withColumn("tokens", F.sort_array("tokens"))
+    each = rows.select("lang", "source", "tokens", F.posexplode("tokens").alias("at", "term"))
+    first = (F.col("at") == 0) | (F.col("term") != F.get("tokens", F.col("at") - 1))
+    each = each.select("lang", "source", "term", first.cast("long").alias("first"))
+    return each.groupBy("lang", "source", "term").agg(F.count("*").alias("count"), F.sum("first").alias("nonzeros"))
 
 
 def _probability(count: Column, total: Column, terms: Column) -> Column:
@@ -137,7 +108,7 @@ def _pair_sums(sums: DataFrame, groups: DataFrame) -> DataFrame:
     return totals.join(name("a"), ["lang", "a"]).join(name("b"), ["lang", "b"]).select("lang", "a_source", "b_source", "value")
 
 
-def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, max_terms: int = MAX_TERMS) -> DataFrame:
+def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``.
 
     Part ``pair``: every other source of the language, by how far apart the two are over all kept
@@ -149,10 +120,12 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, max_te
     if it repeats another's id or text. An empty table gives no rows; further columns are ignored.
     """
     docs = docs.select("text", "lang", "source")
-    counts = staged(group_sums(docs, min_docs, max_terms), "counts")
+    whole = staged(vector_sums(docs), "sums")
     known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     occurring = docs.select(known("lang").alias("lang"), known("source").alias("source")).distinct()
-    in_lang = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
+    in_lang = whole.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("nonzeros").alias("in_docs"))
+    in_lang = staged(in_lang.where(F.col("in_docs") >= min_docs).drop("in_docs"), "vocabulary")
+    counts = staged(whole.drop("nonzeros").join(in_lang.drop("lang_count"), ["lang", "term"]), "counts")
     langs = in_lang.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_count").alias("lang_total"))
     totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     none = F.lit(0).cast("long")
