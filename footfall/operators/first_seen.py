@@ -70,7 +70,11 @@ def update_state(state: DataFrame | None, events: DataFrame, kind: str = NEW_USE
     """State after the events: the smallest time per key and kind."""
     moment = F.col(ts) if isinstance(ts, str) else ts
     seen = events.select(*KEYS, F.lit(kind).alias("kind"), moment.cast("long").alias("first_ts"))
-    rows = seen if state is None else state.select(*KEYS, "kind", "first_ts").unionByName(seen)
+    return merge_state(seen if state is None else state.select(*KEYS, "kind", "first_ts").unionByName(seen))
+
+
+def merge_state(rows: DataFrame) -> DataFrame:
+    """Several states as one."""
     return rows.groupBy(*KEYS, "kind").agg(F.min("first_ts").alias("first_ts"))
 
 

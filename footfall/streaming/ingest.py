@@ -28,11 +28,6 @@ def line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return lines.select("value", F.unix_millis("_metadata.file_modification_time").alias("ingest_ms"))
 
 
-def event_time(log: DataFrame, delay: str, column: str = "ts") -> DataFrame:
-    """Watermark on the event time; rows go through ``align_day`` before this, so none is later than ``delay``."""
-    return log.withColumn(column, F.timestamp_millis("et")).withWatermark(column, delay)
-
-
 def run_available(writer, checkpoint: str) -> StreamingQuery:
     """Process all that is there, in batches, and stop. A backfill is this with its own checkpoint and run name."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -5,10 +5,14 @@ touched are then made from all stored partials of those days and replace the day
 rows. Visitors, sessions, bounces that a second page takes back, and late records of
 a session all come out exact, because partials are merged before anything is counted.
 
-What a batch reads back is bounded: the reduced partials of its days, whose folders are named
-in the filter as literals, and the buckets of the first-seen state that its users fall into.
-With ``job_day`` records of another day are first moved to the day they arrived on, so a
+What counts is named by the commit log of the report's tables (``commits``): a batch is entered once,
+against what was entered before it by all runs. What a batch reads back is bounded: the folders of
+its days, which are compacted as batches add up, and the buckets of the first-seen state that its
+users fall into. With ``job_day`` records of another day are first moved to the day they arrived on, so a
 batch touches the days on which it arrived only.
+
+A backfill is a run of its own. It adds records that are missing; or, with ``replaces``, it counts whole
+days again, whether or not they were counted before, and ``swap`` puts its rows in their place.
 """
 
 from __future__ import annotations
@@ -29,38 +33,47 @@ from footfall.plans.reports import Lookups, ad_link_partials, finish, finish_ads
 from footfall.plans.specs import TERMINAL, ReportSpec
 from footfall.schema import FIRST_SEEN_SCHEMA
 from footfall.sinks.files import replace_days
-from footfall.streaming.tables import LIVE, ensure_table, read_batches, read_keyed, values_of, write_batch, write_keyed
+from footfall.streaming.commits import Snapshot
+from footfall.streaming.tables import LIVE, SegmentTables
 
 ADS, HOME = "ad_reports", "ad_home"
 APP_AUTH = "app_auth"
 
 
+PARTIALS, MARKS, STATE = "partials", "marks", "state"
+
+
 class ReportTables:
-    """Where one streamed report keeps its tables. A run has a checkpoint of its own."""
+    """Where one streamed report keeps its tables. A run has a checkpoint of its own.
 
-    def __init__(self, root: str, name: str, run: str = LIVE):
-        base = f"{root.rstrip('/')}/{name}"
-        self.partials = f"{base}/partials"
-        self.marks = f"{base}/marks"
-        self.state = f"{base}/state"
-        self.totals = f"{base}/totals"
-        self.checkpoint = f"{base}/checkpoint" if run == LIVE else f"{base}/checkpoint-{run}"
-        self.run = run
+    ``replaces`` are the days (``yyyyMMdd``) that a backfill run counts anew; records of other days are
+    not its business and left out.
+    """
+
+    def __init__(self, root: str, name: str, run: str = LIVE, replaces: list[str] | None = None):
+        self.base = f"{root.rstrip('/')}/{name}"
+        self.totals = f"{self.base}/totals"
+        self.checkpoint = f"{self.base}/checkpoint" if run == LIVE else f"{self.base}/checkpoint-{run}"
+        self.run, self.replaces = run, replaces
+
+    def open(self, spark: SparkSession) -> SegmentTables:
+        return SegmentTables(spark, self.base, self.run, self.replaces)
 
 
 @dataclass(frozen=True)
 class Streamed:
-    """How a report is made of parts: partials of a batch, their merge, result rows from merged ones and marks."""
+    """How a report is made of parts: partials of a batch (against first-seen state, if it has one), their merge,
+    result rows from merged ones and marks."""
 
     name: str
-    partials: Callable[[DataFrame], DataFrame]
+    partials: Callable[[DataFrame, DataFrame | None], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
     finish: Callable[[DataFrame, DataFrame | None], DataFrame]
     marks: bool = False
 
 
 def _share(name: str, records: Callable[[DataFrame], DataFrame], dims: list[str]) -> Streamed:
-    return Streamed(name, lambda log: share.share_partials(records(log), dims), share.merge_share, share.finish_share, marks=True)
+    return Streamed(name, lambda log, _: share.share_partials(records(log), dims), share.merge_share, share.finish_share, marks=True)
 
 
 #: Streamed reports that are no plain ``ReportSpec``.
@@ -72,135 +85,165 @@ STREAMED: dict[str, Streamed] = {
         _share("daily_page_share", reports.page_share_records, reports.PAGE_SHARE),
         Streamed(
             "daily_entrance_page",
-            lambda log: sessions.session_pages(reports.entry_rows(log), ["ak", "day"]),
+            lambda log, _: sessions.session_pages(reports.entry_rows(log), ["ak", "day"]),
             sessions.merge_pages,
             lambda pages, _: sessions.entry_totals_of(pages),
         ),
         Streamed(
             "daily_terminal",
-            lambda log: report_partials(TERMINAL, reports.terminal_rows(log)),
+            lambda log, _: report_partials(TERMINAL, reports.terminal_rows(log)),
             merge_partials,
             lambda partials, _: reports.stack_terminal(finish(TERMINAL, partials, None)),
         ),
-        Streamed("sdk_versions", reports.sdk_versions, lambda rows: rows.distinct(), lambda rows, _: rows),
+        Streamed("sdk_versions", lambda log, _: reports.sdk_versions(log), lambda rows: rows.distinct(), lambda rows, _: rows),
     )
 }
 
 
-def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables) -> None:
-    """Enter one batch and bring the result rows of its days up to date."""
-    spark, run = log.sparkSession, tables.run
-    partials = report.partials(log)
-    write_batch(partials, tables.partials, batch_id, "day", run=run)
-    of_days = F.col("day").isin(*values_of(log, "day"))
-    marks = None
+def spec_report(spec: ReportSpec, lookups: Lookups = Lookups()) -> Streamed:
+    """A report by specification."""
+    return Streamed(
+        spec.name,
+        lambda rows, state: report_partials(spec, rows, lookups, state, strict=True),
+        merge_partials,
+        lambda partials, marks: finish(spec, partials, marks),
+        spec.session_marks,
+    )
+
+
+def ads_report(links: DataFrame, levels: Levels = LINK_LEVELS) -> Streamed:
+    return Streamed(
+        ADS,
+        lambda rows, state: ad_link_partials(rows, links, levels, state, state, strict=True),
+        merge_partials,
+        lambda partials, _: finish_ads(partials, levels),
+    )
+
+
+def home_report(links: DataFrame, by_hour: bool = False) -> Streamed:
+    def partials(rows: DataFrame, state: DataFrame) -> DataFrame:
+        in_app = state.filter(F.col("kind") == APP_AUTH).withColumn("kind", F.lit(first_seen.AUTH))
+        return reports.home_partials(rows, links, by_hour, state, state, in_app, strict=True)
+
+    return Streamed(HOME, partials, merge_partials, lambda merged, _: reports.finish_home(merged, by_hour))
+
+
+def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables, users: DataFrame | None = None,
+          entered: DataFrame | None = None) -> None:
+    """Enter one batch and bring the result rows of its days up to date.
+
+    A report with first-seen state names the ``users`` that it looks up and the rows that it enters.
+    """
+    store = tables.open(log.sparkSession)
+
+    def write(snapshot: Snapshot, name: str) -> list[tuple]:
+        state = None if users is None else store.read_keys(snapshot, STATE, FIRST_SEEN_SCHEMA, first_seen.KEYS, users)
+        partials = report.partials(log, state)
+        out = [(PARTIALS, store.write_days(partials, PARTIALS, name), 0, partials.schema)]
+        if report.marks:
+            marks = enrich.new_session_marks(log)
+            out.append((MARKS, store.write_days(marks, MARKS, name), 0, marks.schema))
+        if entered is not None:
+            rows = entered.select(*FIRST_SEEN_SCHEMA.fieldNames())
+            out.append((STATE, None, store.write_keys(rows, STATE, name, first_seen.KEYS), rows.schema))
+        return out
+
+    store.enter(batch_id, write)
+    _settle(report, store, tables)
+    store.compact_days(PARTIALS, report.merge)
     if report.marks:
-        marks = enrich.new_session_marks(log)
-        ensure_table(spark, tables.marks, marks.schema, "day")
-        write_batch(marks, tables.marks, batch_id, "day", run=run)
-        marks = read_batches(spark, tables.marks, marks.schema, only=of_days).distinct()
-    stored = read_batches(spark, tables.partials, partials.schema, only=of_days).select(*partials.columns)
-    replace_days(report.finish(report.merge(stored), marks), tables.totals)
+        store.compact_days(MARKS, lambda rows: rows.distinct())
+    if entered is not None:
+        store.compact_keys(STATE, FIRST_SEEN_SCHEMA, first_seen.KEYS, first_seen.merge_state)
+
+
+def _settle(report: Streamed, store: SegmentTables, tables: ReportTables) -> None:
+    def remake(snapshot: Snapshot, days: list[str]) -> None:
+        read = lambda table: store.read_days(snapshot, table, store.schema_of(snapshot, table), days)
+        marks = read(MARKS).distinct() if report.marks else None
+        replace_days(report.finish(report.merge(read(PARTIALS)), marks), tables.totals)
+        counted = {d for s in snapshot.segments(PARTIALS, store.run) for d in s["days"]}
+        for day in set(days) - counted:
+            store.log.tables.delete(f"totals/day={day}")
+
+    store.settle(remake)
+
+
+def swap(report: Streamed, spark: SparkSession, tables: ReportTables) -> None:
+    """Put a run's rows in place of what stands for the days it replaces, and remake their totals.
+
+    A user whose first time was entered by a replaced row alone is not known any more; marks
+    on other days stay as they are.
+    """
+    store = tables.open(spark)
+    store.swap()
+    _settle(report, tables.open(spark), tables)
 
 
 def refresh(spec: ReportSpec, log: DataFrame, batch_id: int, tables: ReportTables, lookups: Lookups) -> None:
     """Enter one batch of a report by specification."""
-    state = None
+    seen = entered = None
     if spec.auth:
         # Only authorisations of the report's own rows count as seen.
         seen = first_seen.auth_records(report_rows(replace(spec, auth=False), log, lookups))
-        state = _state_before(log.sparkSession, tables, seen, batch_id)
-    enter(
-        Streamed(
-            spec.name,
-            lambda rows: report_partials(spec, rows, lookups, state, strict=True),
-            merge_partials,
-            lambda partials, marks: finish(spec, partials, marks),
-            spec.session_marks,
-        ),
-        log, batch_id, tables,
-    )
-    if spec.auth:
         entered = first_seen.update_state(None, seen, first_seen.AUTH)
-        write_keyed(entered, tables.state, first_seen.KEYS, batch_id, tables.run)
+    enter(spec_report(spec, lookups), log, batch_id, tables, seen, entered)
 
 
-def refresh_ads(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, levels: Levels) -> None:
-    """The advertising reports, with new and authorised users against one state table."""
+def _ad_state(log: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Users with an open id, and the first times that the advertising reports enter for them."""
     known = log.filter(filters.has_openid())
-    state = _state_before(log.sparkSession, tables, known, batch_id)
-    enter(
-        Streamed(
-            ADS,
-            lambda rows: ad_link_partials(rows, links, levels, state, state, strict=True),
-            merge_partials,
-            lambda partials, _: finish_ads(partials, levels),
-        ),
-        log, batch_id, tables,
-    )
     visits = enrich.add_media(filters.require(known, "ad"), links)
     seen = first_seen.update_state(None, known, first_seen.NEW_USER)
-    authorised = first_seen.update_state(None, first_seen.auth_records(visits), first_seen.AUTH)
-    write_keyed(seen.unionByName(authorised), tables.state, first_seen.KEYS, batch_id, tables.run)
+    return known, seen.unionByName(first_seen.update_state(None, first_seen.auth_records(visits), first_seen.AUTH))
 
 
-def refresh_home(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, by_hour: bool) -> None:
-    """Link totals beside the app's. A user's first authorisation in a link and in the app are two states."""
-    known = log.filter(filters.has_openid())
-    state = _state_before(log.sparkSession, tables, known, batch_id)
-    in_app = state.filter(F.col("kind") == APP_AUTH).withColumn("kind", F.lit(first_seen.AUTH))
-    enter(
-        Streamed(
-            HOME,
-            lambda rows: reports.home_partials(rows, links, by_hour, state, state, in_app, strict=True),
-            merge_partials,
-            lambda partials, _: reports.finish_home(partials, by_hour),
-        ),
-        log, batch_id, tables,
-    )
-    visits = enrich.add_media(filters.require(known, "ad"), links)
-    seen = [
-        first_seen.update_state(None, known, first_seen.NEW_USER),
-        first_seen.update_state(None, first_seen.auth_records(visits), first_seen.AUTH),
-        first_seen.update_state(None, first_seen.auth_records(known), APP_AUTH),
-    ]
-    write_keyed(seen[0].unionByName(seen[1]).unionByName(seen[2]), tables.state, first_seen.KEYS, batch_id, tables.run)
+def refresh_ads(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, levels: Levels) -> None:
+    """The advertising reports, with new and authorised users against one state table."""
+    known, entered = _ad_state(log, links)
+    enter(ads_report(links, levels), log, batch_id, tables, known, entered)
 
 
-def _state_before(spark: SparkSession, tables: ReportTables, users: DataFrame, batch_id: int) -> DataFrame:
-    """First-seen state of the users' buckets as earlier batches left it, so that a replay decides the same."""
-    return read_keyed(spark, tables.state, FIRST_SEEN_SCHEMA, first_seen.KEYS, users, batch_id, tables.run)
+def refresh_home(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, by_hour: bool) -> None:
+    """Link totals beside the app's. A user's first authorisation in a link and in the app are two states."""
+    known, entered = _ad_state(log, links)
+    entered = entered.unionByName(first_seen.update_state(None, first_seen.auth_records(known), APP_AUTH))
+    enter(home_report(links, by_hour), log, batch_id, tables, known, entered)
 
 
-def stream(log: DataFrame, name: str, root: str, job_day: Column | None = None, run: str = LIVE) -> DataStreamWriter:
-    """A report of ``STREAMED`` as a stream."""
-    tables = ReportTables(root, name, run)
-    return _each_batch(log, job_day, lambda batch, batch_id: enter(STREAMED[name], batch, batch_id, tables))
+def stream(log: DataFrame, report: str | Streamed, root: str, job_day: Column | None = None, run: str = LIVE,
+           replaces: list[str] | None = None) -> DataStreamWriter:
+    """A report of ``STREAMED``, or one made of parts, as a stream."""
+    report = STREAMED[report] if isinstance(report, str) else report
+    tables = ReportTables(root, report.name, run, replaces)
+    return each_batch(log, job_day, tables, lambda batch, batch_id: enter(report, batch, batch_id, tables))
 
 
 def stream_report(log: DataFrame, spec: ReportSpec, root: str, lookups: Lookups = Lookups(), job_day: Column | None = None,
-                  run: str = LIVE) -> DataStreamWriter:
+                  run: str = LIVE, replaces: list[str] | None = None) -> DataStreamWriter:
     """A writer that keeps the report's totals; start it with ``ingest.run_available`` or ``start_every``."""
-    tables = ReportTables(root, spec.name, run)
-    return _each_batch(log, job_day, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups))
+    tables = ReportTables(root, spec.name, run, replaces)
+    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups))
 
 
 def stream_ads(log: DataFrame, root: str, links: DataFrame, levels: Levels = LINK_LEVELS, job_day: Column | None = None,
-               run: str = LIVE) -> DataStreamWriter:
+               run: str = LIVE, replaces: list[str] | None = None) -> DataStreamWriter:
     """The advertising reports as a stream."""
-    tables = ReportTables(root, ADS, run)
-    return _each_batch(log, job_day, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
+    tables = ReportTables(root, ADS, run, replaces)
+    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
 
 
 def stream_home(log: DataFrame, root: str, links: DataFrame, by_hour: bool = False, job_day: Column | None = None,
-                run: str = LIVE) -> DataStreamWriter:
+                run: str = LIVE, replaces: list[str] | None = None) -> DataStreamWriter:
     """The advertising home report as a stream."""
-    tables = ReportTables(root, HOME, run)
-    return _each_batch(log, job_day, lambda batch, batch_id: refresh_home(batch, batch_id, tables, links, by_hour))
+    tables = ReportTables(root, HOME, run, replaces)
+    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_home(batch, batch_id, tables, links, by_hour))
 
 
-def _each_batch(log: DataFrame, job_day: Column | None, take: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+def each_batch(log: DataFrame, job_day: Column | None, tables: ReportTables, take: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
+        if tables.replaces:
+            batch = batch.filter(F.col("day").isin(*tables.replaces))
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             take(batch, batch_id)

@@ -13,9 +13,10 @@ from footfall.operators.filters import has_openid
 from footfall.plans.specs import AD_LEVELS, JOBS, REPORTS
 from footfall.sinks import publish
 from footfall.sinks.upsert import upsert_table
-from footfall.streaming import ingest, reports, sessions, tables, uniques
-from footfall.workload.log import log_of, lookup, lookups_of
+from footfall.streaming import ingest, reports, sessions, uniques
+from footfall.workload.log import log_of, lookup, lookups_of, oracle_ctes
 from footfall.workload.normalising import raw_lines, raw_trend_check
+from footfall.workload.oracle import traffic
 from footfall.workload.registry import ORACLES, over_log, query
 from footfall.workload.storing import place
 
@@ -117,11 +118,81 @@ _ARRIVED = "strftime(make_timestamp((et + {late}) * 1000), '%Y%m%d')".format(lat
 
 @query("stream_late_visitors", over_log(f"select ak, {_ARRIVED} as day, count(distinct uu) as uv from log group by all"))
 def _late(spark, sf):
-    """A tenth of the records come three days late: they count on the day they arrive, at the default delay."""
-    root, dims = _root(spark, sf, "late"), ["ak", "day"]
-    stream = log_stream(spark, sf, root, ordered=True, lateness=_LATE)
-    ingest.run_available(uniques.unique_stream(stream, dims, f"{root}/uv", job_day()), f"{root}/checkpoint")
-    return uniques.running_totals(spark, f"{root}/uv", _uv_schema(spark), dims, ["uv"])
+    """A tenth of the records come three days late, and input is unordered: they count on the day they arrive."""
+    root = _root(spark, sf, "late")
+    kept = reports.ReportTables(root, uniques.UNIQUES)
+    stream = log_stream(spark, sf, root, lateness=_LATE)
+    ingest.run_available(uniques.unique_stream(stream, ["ak"], root, job_day()), kept.checkpoint)
+    return _totals(spark, kept)
+
+
+_MIDNIGHT = f"date_trunc('day', make_timestamp((et + {3 * DAY_MS}) * 1000))"
+_RESTAMPED = (
+    oracle_ctes().replace("log as (", "whole as (", 1)
+    + ", log as (select * replace (case when late then epoch_ms(midnight) else et end as et, case when late then strftime(midnight, '%Y%m%d') else day end as day,"
+    f" case when late then '00' else hour end as hour) from (select *, event_id % 10 = 0 as late, {_MIDNIGHT} as midnight from whole))"
+)
+
+
+@query("stream_late_trend", traffic(JOBS["trend_job"], _RESTAMPED))
+def _late_trend(spark, sf):
+    """A report whose late records move to the midnight before they arrived, in any order of arrival."""
+    root, spec = _root(spark, sf, "late_trend"), JOBS["trend_job"]
+    kept = reports.ReportTables(root, spec.name)
+    stream = log_stream(spark, sf, root, lateness=_LATE)
+    ingest.run_available(reports.stream_report(stream, spec, root, lookups_of(spark), job_day()), kept.checkpoint)
+    return _totals(spark, kept)
+
+
+# -- several runs on the same tables ---------------------------------------------------------------
+
+
+def _beside_backfill(spark: SparkSession, sf: str, name: str, start, kept_of) -> DataFrame:
+    """Live batches, then a backfill of later records as a run of its own, then all live batches once more."""
+    root, log = _root(spark, sf, name), log_of(spark, sf)
+    live = staged_stream(spark, [log.filter(f"et < unix_millis({CUTS[0]})"), log.filter(f"et >= unix_millis({CUTS[0]}) and et < unix_millis({CUTS[1]})")], f"{root}/live")
+    again = staged_stream(spark, [log.filter(f"et >= unix_millis({CUTS[1]})")], f"{root}/again")
+    for stream, run, checkpoint in ((live, "live", "a"), (again, "again", "b"), (live, "live", "replay")):
+        ingest.run_available(start(stream, root, run), f"{root}/checkpoints/{checkpoint}")
+    return _totals(spark, kept_of(root))
+
+
+@query("stream_replay_beside_backfill", ORACLES["daily_link_summary"])
+def _replayed_link(spark, sf):
+    spec = REPORTS["daily_link_summary"]
+    return _beside_backfill(
+        spark, sf, "replayed_link", lambda s, root, run: reports.stream_report(s, spec, root, lookups_of(spark), run=run),
+        lambda root: reports.ReportTables(root, spec.name),
+    )
+
+
+@query("stream_ads_replay_beside_backfill", ORACLES["ad_levels"])
+def _replayed_ads(spark, sf):
+    return _beside_backfill(
+        spark, sf, "replayed_ads", lambda s, root, run: reports.stream_ads(s, root, lookup(spark, "links"), AD_LEVELS, run=run),
+        lambda root: reports.ReportTables(root, reports.ADS),
+    )
+
+
+_REPLAYED_DAYS = ["20240110", "20240111", "20240112"]
+
+
+@query("stream_backfill_replaces_days", ORACLES["daily_link_summary"])
+def _replaced(spark, sf):
+    """Three days that live has counted, one of them twice over and one in part, are counted again and put in their place."""
+    root, spec, log = _root(spark, sf, "replaced"), REPORTS["daily_link_summary"], log_of(spark, sf)
+    wrong = log.filter("day <> '20240111' or event_id % 2 = 0").unionByName(log.filter("day = '20240112'").withColumn("att", F.concat("att", F.lit("x"))))
+    parts = [wrong.filter(f"et < unix_millis({CUTS[0]})"), wrong.filter(f"et >= unix_millis({CUTS[0]}) and day <= '20240113'"), wrong.filter("day > '20240113'")]
+    replayed = log.filter(F.col("day").between("20240109", "20240113"))
+    report = reports.spec_report(spec, lookups_of(spark))
+    live, again = reports.ReportTables(root, spec.name), reports.ReportTables(root, spec.name, "again", _REPLAYED_DAYS)
+    start = lambda s, kept: reports.stream_report(s, spec, root, lookups_of(spark), run=kept.run, replaces=kept.replaces)
+    ingest.run_available(start(staged_stream(spark, parts[:2], f"{root}/live"), live), live.checkpoint)
+    ingest.run_available(start(staged_stream(spark, [replayed.filter("hour < '12'"), replayed.filter("hour >= '12'")], f"{root}/again"), again), again.checkpoint)
+    reports.swap(report, spark, again)
+    parts[2].repartition(FILES).write.mode("append").parquet(f"{root}/live")
+    ingest.run_available(start(ingest.file_stream(spark, f"{root}/live", log.schema, FILES), live), live.checkpoint)
+    return _totals(spark, live)
 
 
 @query("stream_ad_levels", ORACLES["ad_levels"])
@@ -158,16 +229,13 @@ def _messages(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{root}/table")
 
 
-def _uv_schema(spark: SparkSession):
-    return spark.createDataFrame([], "ak string, day string, uv long").schema
-
-
 @query("stream_unique_visitors", over_log("select ak, day, count(distinct uu) as uv from log group by all"))
 def _uniques(spark, sf):
+    """Each batch has records of all days."""
     root = _root(spark, sf, "uniques")
-    stream = log_stream(spark, sf, root, ordered=True)
-    ingest.run_available(uniques.unique_stream(stream, ["ak", "day"], f"{root}/uv", job_day()), f"{root}/checkpoint")
-    return uniques.running_totals(spark, f"{root}/uv", _uv_schema(spark), ["ak", "day"], ["uv"])
+    kept = reports.ReportTables(root, uniques.UNIQUES)
+    ingest.run_available(uniques.unique_stream(log_stream(spark, sf, root), ["ak"], root, job_day()), kept.checkpoint)
+    return _totals(spark, kept)
 
 
 @query(
@@ -215,20 +283,14 @@ def _entries(spark, sf):
 def _new_users(spark, sf):
     root = _root(spark, sf, "new_users")
     stream = log_stream(spark, sf, root, ordered=True).filter(has_openid())
-    ingest.run_available(uniques.mark_new_users(stream, f"{root}/state", f"{root}/new"), f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/new").select(*first_seen.KEYS, "event_id")
+    ingest.run_available(uniques.mark_new_users(stream, root), f"{root}/checkpoint")
+    return uniques.new_users(spark, root).select(*first_seen.KEYS, "event_id")
 
 
 @query("stream_windowed_views", over_log("select ak, epoch_ms(date_trunc('hour', make_timestamp(et * 1000))) as start_ms, count(*) as pv from log group by all"))
 def _windows(spark, sf):
+    """Each batch has records of all days."""
     root = _root(spark, sf, "windows")
-    views = uniques.windowed_views(log_stream(spark, sf, root, ordered=True), ["ak"], job_day())
-    rows = views.select("ak", F.unix_millis("window.start").alias("start_ms"), "pv")
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        tables.write_batch(batch, f"{root}/views", batch_id)
-
-    ingest.run_available(rows.writeStream.outputMode("update").foreachBatch(each), f"{root}/checkpoint")
-    # Update mode gives a window's new total each time; the last batch that touched it stands.
-    written = spark.read.parquet(f"{root}/views")
-    return written.groupBy("ak", "start_ms").agg(F.max_by("pv", "batch_id").alias("pv"))
+    kept = reports.ReportTables(root, uniques.WINDOWS)
+    ingest.run_available(uniques.window_stream(log_stream(spark, sf, root), ["ak"], root, job_day()), kept.checkpoint)
+    return _totals(spark, kept).drop("day")
