@@ -50,25 +50,6 @@ def test_lookup_size_decides_at_run_time(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_stream_reads_only_its_days_and_buckets(spark, sf_dir, tmp_path):
-    from footfall.operators import first_seen
-    from footfall.schema import FIRST_SEEN_SCHEMA
-    from footfall.streaming import tables
-
-    log = log_of(spark, sf_dir)
-    tables.write_batch(log.select("ak", "uu", "day"), f"{tmp_path}/partials", 0, "day")
-    rows = tables.read_batches(spark, f"{tmp_path}/partials", log.select("ak", "uu", "day").schema, only=F.col("day").isin("20240110"))
-    plan = _plan(rows)
-    assert "day#" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")] and "20240110" in plan
-    users = first_seen.update_state(None, log.filter("op <> 'useless_openid'"))
-    tables.write_keyed(users, f"{tmp_path}/state", first_seen.KEYS, 0)
-    one = users.limit(1)
-    known = tables.read_keyed(spark, f"{tmp_path}/state", FIRST_SEEN_SCHEMA, first_seen.KEYS, one, 1)
-    plan = _plan(known)
-    assert "bucket#" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
-    assert one.join(known, ["ak", "op"], "left_semi").count() == 1 and known.count() < users.count()
-
-
 def test_hot_session_totals(spark):
     row = traffic_totals(hot_log(spark), (("te",),)).collect()[0]
     assert row.open_count == 4001 and row.visitor_count == 51 and row.total_page_count == 6000
