@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,17 +40,22 @@ def use_report_settings(spark: SparkSession, zone: str = REPORT_TIME_ZONE) -> Sp
     return spark
 
 
+#: Folders made for applications on a local master, by application id.
+_MADE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and staged tables that every executor can reach.
 
-    Read from ``spark.checkpoint.dir``. A local temporary folder is made only for a
-    local master, where driver and executors are one process.
+    Read from ``spark.checkpoint.dir``. Where that is unset, a temporary folder is made once per
+    application, but only if driver and executors are one process; on a cluster it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    made = tempfile.mkdtemp(prefix="footfall-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _MADE:
+        _MADE[application] = tempfile.mkdtemp(prefix="footfall-")
+    return _MADE[application]

@@ -22,60 +22,66 @@ from footfall.streaming.tables import LIVE, write_batch
 
 STATE_HOURS = 50  # a day of events, and until 02:00 after the day in which they may arrive
 
-_STATE = "pages int, stay long, is_new int, pv long, first_ms long, first_page string"
-_PAGE_KEY, _PAGE_VALUE = "pp string", "seen int"
+# A session counts as one of one page or of several, so its state is of fixed size: ``page`` is null once
+# there were two different ones.
+_STATE = "page string, stay long, is_new int, pv long, first_ms long, first_page string"
 
 SUMS = ["new_comer_count", "open_count", "one_page_count", "total_stay_time", "pv"]
 ENTRY_SUMS = ["entry_page_count", "one_page_count", "page_count", "total_time"]
 
 
 def combine(log: DataFrame, dims: list[str]) -> DataFrame:
-    """Fold the records of a session and page inside every Arrow batch, before the shuffle.
+    """Fold the records of a session inside every Arrow batch, before the shuffle.
 
-    State tasks get one row per session, page and input batch, however long a session is.
+    State tasks get one row per session and input batch, however many records and pages a session has.
     """
-    keys = [*dims, "att", "pp"]
-    slim = log.select(*keys, "et", "dr", (F.col("ifo") == "true").cast("int").alias("is_new"))
+    keys = [*dims, "att"]
+    slim = log.select(*keys, "pp", "et", "dr", (F.col("ifo") == "true").cast("int").alias("is_new"))
     schema = T.StructType(
         [*[slim.schema[k] for k in keys]]
         + [T.StructField(n, T.LongType()) for n in ("pv", "first_ms", "stay")]
         + [T.StructField("is_new", T.IntegerType())]
+        + [T.StructField(n, T.StringType()) for n in ("first_page", "low_page", "high_page")]
     )
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            batch = batch.sort_values(["et", "pp"], kind="stable")
             grouped = batch.groupby(keys, sort=False, dropna=False)
-            folded = grouped.agg(pv=("et", "size"), first_ms=("et", "min"), stay=("dr", "max"), is_new=("is_new", "max"))
+            folded = grouped.agg(
+                pv=("et", "size"), first_ms=("et", "min"), stay=("dr", "max"), is_new=("is_new", "max"),
+                first_page=("pp", "first"), low_page=("pp", "min"), high_page=("pp", "max"),
+            )
             yield folded.reset_index()[schema.fieldNames()]
 
     return slim.mapInPandas(fold, schema)
 
 
 class _Sessions(StatefulProcessor):
-    """Keeps one session: its pages in a map, the rest in one value."""
+    """Keeps one session in one value, read and written once per batch."""
 
     def __init__(self, hours: int):
         self.ttl_ms = hours * 3600 * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.summary = handle.getValueState("summary", _STATE, ttlDurationMs=self.ttl_ms)
-        self.pages = handle.getMapState("pages", _PAGE_KEY, _PAGE_VALUE, ttlDurationMs=self.ttl_ms)
 
     def absorb(self, rows: Iterator[pd.DataFrame]):
-        """Take the rows in; the session before (None when it is new) and after."""
-        before = self.summary.get() if self.summary.exists() else None
-        pages, stay, is_new, pv, first = (before[0], before[1], before[2], before[3], (before[4], before[5])) if before else (0, 0, 0, 0, None)
-        for frame in rows:
-            for row in frame.itertuples(index=False):
-                if not self.pages.containsKey((row.pp,)):
-                    self.pages.updateValue((row.pp,), (1,))
-                    pages += 1
-                stay, is_new, pv = max(stay, int(row.stay)), max(is_new, int(row.is_new)), pv + int(row.pv)
-                seen = (int(row.first_ms), row.pp)
-                first = seen if first is None else min(first, seen)
-        after = (pages, stay, is_new, pv, first[0], first[1])
-        self.summary.update(after)
-        return before, after
+        """Take the rows in; the session before (None when it is new) and after: one page or not, stay, is new, views, first time and page."""
+        stored = self.summary.get() if self.summary.exists() else None
+        frame = pd.concat(rows, ignore_index=True)
+        low, high = frame["low_page"].min(), frame["high_page"].max()
+        stay, is_new, pv = int(frame["stay"].max()), int(frame["is_new"].max()), int(frame["pv"].sum())
+        moment = int(frame["first_ms"].min())
+        first = (moment, frame.loc[frame["first_ms"] == moment, "first_page"].min())
+        page = low if low == high else None
+        before = None
+        if stored is not None:
+            before = (int(stored[0] is not None), *stored[1:])
+            page = page if page == stored[0] else None
+            stay, is_new, pv, first = max(stay, stored[1]), max(is_new, stored[2]), pv + stored[3], min(first, (stored[4], stored[5]))
+        self.summary.update((page, stay, is_new, pv, *first))
+        return before, (int(page is not None), stay, is_new, pv, *first)
 
     def close(self) -> None:
         pass
