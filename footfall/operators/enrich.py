@@ -110,14 +110,25 @@ def add_share_chain(log: DataFrame) -> DataFrame:
     )
 
 
-def sharer_profiles(log: DataFrame) -> DataFrame:
-    """Latest city and gender per (ak, uu)."""
+def latest_profiles(log: DataFrame, *more: str) -> DataFrame:
+    """Time, city and gender of the latest record per (ak, uu) and further keys."""
     gender = F.when(F.col("gender") == "1", S.MALE).when(F.col("gender") == "2", S.FEMALE).otherwise(S.UNKNOWN)
     rows = log.filter(text.present(F.col("uu")) & text.present(F.col("ak"))).select(
-        "ak", "uu", "et", text.or_default(F.col("city"), S.UNKNOWN).alias("city"), gender.alias("gender")
+        "ak", "uu", *more, "et", text.or_default(F.col("city"), S.UNKNOWN).alias("city"), gender.alias("gender")
     )
-    latest = F.max(F.struct("et", "city", "gender")).alias("latest")
-    return rows.groupBy("ak", "uu").agg(latest).select("ak", "uu", "latest.city", "latest.gender")
+    return merge_profiles(rows)
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """The latest of several profiles of one key."""
+    values = ["et", "city", "gender"]
+    keys = [c for c in profiles.columns if c not in values]
+    return profiles.groupBy(*keys).agg(F.max(F.struct(*values)).alias("latest")).select(*keys, *[f"latest.{v}" for v in values])
+
+
+def sharer_profiles(log: DataFrame) -> DataFrame:
+    """Latest city and gender per (ak, uu)."""
+    return latest_profiles(log).drop("et")
 
 
 def new_session_marks(log: DataFrame) -> DataFrame:

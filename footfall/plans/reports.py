@@ -121,12 +121,22 @@ def page_share_records(log: DataFrame) -> DataFrame:
     )
 
 
+USER_SHARE = ["te", "src", "layer"]
+
+
+def user_share_records(log: DataFrame) -> DataFrame:
+    return enrich.add_share_chain(filters.share_records(log)).filter(text.present(F.col("src")))
+
+
 def user_share(log: DataFrame) -> DataFrame:
     """By sharer and sharing degree, with the sharer's latest city and gender."""
-    rows = enrich.add_share_chain(filters.share_records(log)).filter(text.present(F.col("src")))
-    totals = share.share_totals(rows, ["te", "src", "layer"], enrich.new_session_marks(log))
-    profiles = enrich.sharer_profiles(log).withColumnRenamed("uu", "src")
-    joined = totals.drop("share_user_count").join(profiles, ["ak", "src"], "left")
+    totals = share.share_totals(user_share_records(log), USER_SHARE, enrich.new_session_marks(log))
+    return with_profiles(totals, enrich.sharer_profiles(log), ["ak"])
+
+
+def with_profiles(totals: DataFrame, profiles: DataFrame, keys: list[str]) -> DataFrame:
+    """User share totals with the sharers' profiles; sharers without one read unknown."""
+    joined = totals.drop("share_user_count").join(profiles.withColumnRenamed("uu", "src"), [*keys, "src"], "left")
     return joined.na.fill(S.UNKNOWN, ["city", "gender"])
 
 
@@ -267,29 +277,42 @@ def activity_detail(log: DataFrame, links: DataFrame, media: DataFrame, state: D
     Flags read 0 for yes. A user's first visit is their first record that reports a first
     open, unless the state knows them; the row that holds it is the new one.
     """
-    keys = ["ak", "op", "day", "hour", "activity", "channel"]
-    rows = filters.require(log, "activity").filter(filters.has_openid())
-    rows = first_seen.slim(enrich.add_activity_channel(rows, links, media), [*keys, "et", "event_id", "ifo", "img"])
-    firsts = first_seen.first_seen(rows.filter(F.col("ifo") == "true"), state, first_seen.ACTIVITY)
-    new = firsts.select(
-        *keys, F.lit(True).alias("_new"), F.col("et").alias("_new_ts"),
-        filters.is_authorised().alias("_auth"),
-    )
-    known = firsts.select("ak", "op", F.col("et").alias("first_ts"))
+    rows = activity_rows(log, links, media)
+    firsts = activity_firsts(rows, state)
+    known = firsts.select("ak", "op", F.col("first_at").alias("first_ts"))
     if state is not None:
         stored = first_seen.state_of(state, first_seen.ACTIVITY, "first_ts")
         known = known.unionByName(stored).groupBy("ak", "op").agg(F.min("first_ts").alias("first_ts"))
-    detail = rows.groupBy(*keys).agg(F.max("et").alias("_last"))
-    joined = detail.join(new, keys, "left").join(known, ["ak", "op"], "left")
-    is_new, is_auth = F.coalesce("_new", F.lit(False)), F.coalesce("_auth", F.lit(False))
+    return finish_activity(rows.groupBy(*ACTIVITY_KEYS).agg(F.max("et").alias("last_at")), firsts, known)
+
+
+ACTIVITY_KEYS = ["ak", "op", "day", "hour", "activity", "channel"]
+
+
+def activity_rows(log: DataFrame, links: DataFrame, media: DataFrame) -> DataFrame:
+    rows = filters.require(log, "activity").filter(filters.has_openid())
+    return first_seen.slim(enrich.add_activity_channel(rows, links, media), [*ACTIVITY_KEYS, "et", "event_id", "ifo", "img"])
+
+
+def activity_firsts(rows: DataFrame, state: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """Users' first visits: their keys, time, and whether they authorised."""
+    firsts = first_seen.first_seen(rows.filter(F.col("ifo") == "true"), state, first_seen.ACTIVITY, strict=strict)
+    return firsts.select(*ACTIVITY_KEYS, F.col("et").alias("first_at"), filters.is_authorised().alias("authorised"))
+
+
+def finish_activity(visits: DataFrame, firsts: DataFrame, known: DataFrame) -> DataFrame:
+    """Detail rows from last visits per key, first visits, and the times at which users were first seen."""
+    new = firsts.withColumn("_new", F.lit(True))
+    joined = visits.join(new, ACTIVITY_KEYS, "left").join(known, ["ak", "op"], "left")
+    is_new, is_auth = F.coalesce("_new", F.lit(False)), F.coalesce("authorised", F.lit(False))
     clock = "yyyy-MM-dd HH:mm:ss"
-    visited = F.when(F.col("first_ts") <= F.col("_last"), times.format_millis(F.col("first_ts"), clock))
+    visited = F.when(F.col("first_ts") <= F.col("last_at"), times.format_millis(F.col("first_ts"), clock))
     return joined.select(
         "ak", "day", "hour", "activity", "channel", F.col("op").alias("openid"),
         F.when(is_new, 0).otherwise(1).alias("is_new_user"),
         F.coalesce(visited, F.lit(S.NO_TIME)).alias("first_visit_time"),
         F.when(is_auth, 0).otherwise(1).alias("is_new_authorization"),
-        F.when(is_auth, times.format_millis(F.col("_new_ts"), clock)).otherwise(S.NO_TIME).alias("authorization_time"),
+        F.when(is_auth, times.format_millis(F.col("first_at"), clock)).otherwise(S.NO_TIME).alias("authorization_time"),
     )
 
 

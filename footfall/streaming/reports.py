@@ -18,7 +18,7 @@ days again, whether or not they were counted before, and ``swap`` puts its rows
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +36,11 @@ from footfall.sinks.files import replace_days
 from footfall.streaming.commits import Snapshot
 from footfall.streaming.tables import LIVE, SegmentTables
 
-ADS, HOME = "ad_reports", "ad_home"
+ADS, HOME, ACTIVITY = "ad_reports", "ad_home", "ad_activity_detail"
 APP_AUTH = "app_auth"
 
 
-PARTIALS, MARKS, STATE = "partials", "marks", "state"
+PARTIALS, MARKS, PROFILES, FIRSTS, STATE = "partials", "marks", "profiles", "firsts", "state"
 
 
 class ReportTables:
@@ -60,20 +60,39 @@ class ReportTables:
         return SegmentTables(spark, self.base, self.run, self.replaces)
 
 
+@dataclass(frozen=True)
+class Side:
+    """Rows of a day that a report keeps beside its partials, and how those of several batches are merged."""
+
+    rows: Callable[[DataFrame, DataFrame | None], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Streamed:
     """How a report is made of parts: partials of a batch (against first-seen state, if it has one), their merge,
-    result rows from merged ones and marks."""
+    result rows from merged ones and sides."""
 
     name: str
     partials: Callable[[DataFrame, DataFrame | None], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
-    finish: Callable[[DataFrame, DataFrame | None], DataFrame]
-    marks: bool = False
+    finish: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]
+    sides: dict[str, Side] = field(default_factory=dict)
+
+
+_distinct = lambda rows: rows.distinct()
+NEW_SESSIONS = {MARKS: Side(lambda log, _: enrich.new_session_marks(log), _distinct)}
 
 
 def _share(name: str, records: Callable[[DataFrame], DataFrame], dims: list[str]) -> Streamed:
-    return Streamed(name, lambda log, _: share.share_partials(records(log), dims), share.merge_share, share.finish_share, marks=True)
+    return Streamed(
+        name, lambda log, _: share.share_partials(records(log), dims), share.merge_share,
+        lambda partials, sides: share.finish_share(partials, sides[MARKS]), NEW_SESSIONS,
+    )
+
+
+def _finish_user_share(partials: DataFrame, sides: dict[str, DataFrame]) -> DataFrame:
+    return reports.with_profiles(share.finish_share(partials, sides[MARKS]), sides[PROFILES].drop("et"), ["ak", "day"])
 
 
 #: Streamed reports that are no plain ``ReportSpec``.
@@ -83,6 +102,14 @@ STREAMED: dict[str, Streamed] = {
         _share("daily_share_summary", filters.share_records, ["te"]),
         _share("hourly_share_summary", filters.share_records, ["te", "hour"]),
         _share("daily_page_share", reports.page_share_records, reports.PAGE_SHARE),
+        Streamed(
+            # A sharer's profile is the latest of the day.
+            "daily_user_share",
+            lambda log, _: share.share_partials(reports.user_share_records(log), reports.USER_SHARE),
+            share.merge_share,
+            _finish_user_share,
+            NEW_SESSIONS | {PROFILES: Side(lambda log, _: enrich.latest_profiles(log, "day"), enrich.merge_profiles)},
+        ),
         Streamed(
             "daily_entrance_page",
             lambda log, _: sessions.session_pages(reports.entry_rows(log), ["ak", "day"]),
@@ -95,7 +122,7 @@ STREAMED: dict[str, Streamed] = {
             merge_partials,
             lambda partials, _: reports.stack_terminal(finish(TERMINAL, partials, None)),
         ),
-        Streamed("sdk_versions", lambda log, _: reports.sdk_versions(log), lambda rows: rows.distinct(), lambda rows, _: rows),
+        Streamed("sdk_versions", lambda log, _: reports.sdk_versions(log), _distinct, lambda rows, _: rows),
     )
 }
 
@@ -106,8 +133,8 @@ def spec_report(spec: ReportSpec, lookups: Lookups = Lookups()) -> Streamed:
         spec.name,
         lambda rows, state: report_partials(spec, rows, lookups, state, strict=True),
         merge_partials,
-        lambda partials, marks: finish(spec, partials, marks),
-        spec.session_marks,
+        lambda partials, sides: finish(spec, partials, sides.get(MARKS)),
+        NEW_SESSIONS if spec.session_marks else {},
     )
 
 
@@ -128,6 +155,29 @@ def home_report(links: DataFrame, by_hour: bool = False) -> Streamed:
     return Streamed(HOME, partials, merge_partials, lambda merged, _: reports.finish_home(merged, by_hour))
 
 
+def activity_report(links: DataFrame, media: DataFrame) -> Streamed:
+    """Activity detail. A visit's partial carries when its user was first seen by earlier batches; first visits of
+    the day stand beside it."""
+
+    def visits(log: DataFrame, state: DataFrame) -> DataFrame:
+        rows = reports.activity_rows(log, links, media)
+        last = rows.groupBy(*reports.ACTIVITY_KEYS).agg(F.max("et").alias("last_at"))
+        return last.join(first_seen.state_of(state, first_seen.ACTIVITY, "first_ts"), list(first_seen.KEYS), "left")
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*reports.ACTIVITY_KEYS).agg(F.max("last_at").alias("last_at"), F.min("first_ts").alias("first_ts"))
+
+    def finished(rows: DataFrame, sides: dict[str, DataFrame]) -> DataFrame:
+        firsts = sides[FIRSTS]
+        seen = firsts.select(*first_seen.KEYS, F.col("first_at").alias("first_ts"))
+        seen = seen.unionByName(rows.select(*first_seen.KEYS, "first_ts").filter(F.col("first_ts").isNotNull()))
+        known = seen.groupBy(*first_seen.KEYS).agg(F.min("first_ts").alias("first_ts"))
+        return reports.finish_activity(rows.drop("first_ts"), firsts, known)
+
+    firsts = Side(lambda log, state: reports.activity_firsts(reports.activity_rows(log, links, media), state, strict=True), _distinct)
+    return Streamed(ACTIVITY, visits, merge, finished, {FIRSTS: firsts})
+
+
 def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables, users: DataFrame | None = None,
           entered: DataFrame | None = None) -> None:
     """Enter one batch and bring the result rows of its days up to date.
@@ -140,9 +190,9 @@ def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables,
         state = None if users is None else store.read_keys(snapshot, STATE, FIRST_SEEN_SCHEMA, first_seen.KEYS, users)
         partials = report.partials(log, state)
         out = [(PARTIALS, store.write_days(partials, PARTIALS, name), 0, partials.schema)]
-        if report.marks:
-            marks = enrich.new_session_marks(log)
-            out.append((MARKS, store.write_days(marks, MARKS, name), 0, marks.schema))
+        for table, side in report.sides.items():
+            rows = side.rows(log, state)
+            out.append((table, store.write_days(rows, table, name), 0, rows.schema))
         if entered is not None:
             rows = entered.select(*FIRST_SEEN_SCHEMA.fieldNames())
             out.append((STATE, None, store.write_keys(rows, STATE, name, first_seen.KEYS), rows.schema))
@@ -151,8 +201,8 @@ def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables,
     store.enter(batch_id, write)
     _settle(report, store, tables)
     store.compact_days(PARTIALS, report.merge)
-    if report.marks:
-        store.compact_days(MARKS, lambda rows: rows.distinct())
+    for table, side in report.sides.items():
+        store.compact_days(table, side.merge)
     if entered is not None:
         store.compact_keys(STATE, FIRST_SEEN_SCHEMA, first_seen.KEYS, first_seen.merge_state)
 
@@ -160,8 +210,8 @@ def enter(report: Streamed, log: DataFrame, batch_id: int, tables: ReportTables,
 def _settle(report: Streamed, store: SegmentTables, tables: ReportTables) -> None:
     def remake(snapshot: Snapshot, days: list[str]) -> None:
         read = lambda table: store.read_days(snapshot, table, store.schema_of(snapshot, table), days)
-        marks = read(MARKS).distinct() if report.marks else None
-        replace_days(report.finish(report.merge(read(PARTIALS)), marks), tables.totals)
+        sides = {table: side.merge(read(table)) for table, side in report.sides.items()}
+        replace_days(report.finish(report.merge(read(PARTIALS)), sides), tables.totals)
         counted = {d for s in snapshot.segments(PARTIALS, store.run) for d in s["days"]}
         for day in set(days) - counted:
             store.log.tables.delete(f"totals/day={day}")
@@ -211,6 +261,13 @@ def refresh_home(log: DataFrame, batch_id: int, tables: ReportTables, links: Dat
     enter(home_report(links, by_hour), log, batch_id, tables, known, entered)
 
 
+def refresh_activity(log: DataFrame, batch_id: int, tables: ReportTables, links: DataFrame, media: DataFrame) -> None:
+    """Activity detail, with users' first visits against a state table."""
+    rows = reports.activity_rows(log, links, media)
+    entered = first_seen.update_state(None, rows.filter(F.col("ifo") == "true"), first_seen.ACTIVITY)
+    enter(activity_report(links, media), log, batch_id, tables, rows, entered)
+
+
 def stream(log: DataFrame, report: str | Streamed, root: str, job_day: Column | None = None, run: str = LIVE,
            replaces: list[str] | None = None) -> DataStreamWriter:
     """A report of ``STREAMED``, or one made of parts, as a stream."""
@@ -240,6 +297,13 @@ def stream_home(log: DataFrame, root: str, links: DataFrame, by_hour: bool = Fal
     return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_home(batch, batch_id, tables, links, by_hour))
 
 
+def stream_activity(log: DataFrame, root: str, links: DataFrame, media: DataFrame, job_day: Column | None = None,
+                    run: str = LIVE, replaces: list[str] | None = None) -> DataStreamWriter:
+    """Activity detail as a stream. A first visit goes to the batch that sees it first."""
+    tables = ReportTables(root, ACTIVITY, run, replaces)
+    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_activity(batch, batch_id, tables, links, media))
+
+
 def each_batch(log: DataFrame, job_day: Column | None, tables: ReportTables, take: Callable[[DataFrame, int], None]) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
         if tables.replaces:

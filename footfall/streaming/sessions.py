@@ -36,7 +36,7 @@ def combine(log: DataFrame, dims: list[str]) -> DataFrame:
     State tasks get one row per session and input batch, however many records and pages a session has.
     """
     keys = [*dims, "att"]
-    slim = log.select(*keys, "pp", "et", "dr", (F.col("ifo") == "true").cast("int").alias("is_new"))
+    slim = log.select(*keys, F.coalesce("pp", F.lit("")).alias("pp"), "et", "dr", (F.col("ifo") == "true").cast("int").alias("is_new"))
     schema = T.StructType(
         [*[slim.schema[k] for k in keys]]
         + [T.StructField(n, T.LongType()) for n in ("pv", "first_ms", "stay")]

@@ -79,9 +79,17 @@ for _name in _SPECS:
         return _totals(spark, kept)
 
 
+#: A streamed sharer's profile is the latest of the day, as of a batch job over one day.
+_OF_DAY = (
+    ORACLES["daily_user_share"]
+    .replace("select ak, uu as src, case when city", "select ak, day, uu as src, case when city")
+    .replace("partition by ak, uu order by", "partition by ak, uu, day order by")
+    .replace("p.src = t.src", "p.src = t.src and p.day = t.day")
+)
+
 for _name in reports.STREAMED:
 
-    @query(f"stream_{_name}", ORACLES[_name])
+    @query(f"stream_{_name}", _OF_DAY if _name == "daily_user_share" else ORACLES[_name])
     def _streamed(spark, sf, name=_name):
         root = _root(spark, sf, f"stream_{name}")
         kept = reports.ReportTables(root, name)
@@ -213,6 +221,15 @@ def _home(spark, sf):
     return _totals(spark, kept)
 
 
+@query("stream_ad_activity_detail", ORACLES["ad_activity_detail"])
+def _activity(spark, sf):
+    root = _root(spark, sf, "stream_activity")
+    kept = reports.ReportTables(root, reports.ACTIVITY)
+    stream = log_stream(spark, sf, root, ordered=True)
+    ingest.run_available(reports.stream_activity(stream, root, lookup(spark, "links"), lookup(spark, "media")), kept.checkpoint)
+    return _totals(spark, kept)
+
+
 @query("stream_messages_to_table", over_log("select ak, day, te, count(*) as pv from log group by all"))
 def _messages(spark, sf):
     """Published rows consumed batch by batch and entered into a table."""
