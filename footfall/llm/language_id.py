@@ -7,12 +7,12 @@ are scored in numpy by summing the matrix rows of all their n-grams.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ UNKNOWN = "und"
 
 _NOTHING = 1 << BITS  # the bucket of places where no n-gram begins
 _FACTORS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)  # odd numbers for hashing
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # digits, fractions and numeric signs are none
 _BLOCK = 1 << 18
 
 

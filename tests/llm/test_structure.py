@@ -1,9 +1,12 @@
-"""Conversation repair, source divergence and HTML extraction."""
+"""Conversation repair, source divergence and HTML extraction; language ID written out."""
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import unicodedata
+from collections import Counter
 
 import checks
 import duckdb
@@ -12,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.llm import block_crf, conversation_repair, html_extraction, page_layouts, queries, source_divergence
+from footfall.llm import block_crf, conversation_repair, html_extraction, language_id, page_layouts, queries, source_divergence
 from footfall.llm.html_blocks import Block, Element, leaf_blocks
 from footfall.llm.repair_grammar import Solver, encode, join, leaf, pair_counts, precedes
 
@@ -252,3 +255,42 @@ def test_extraction_of_odd_rows(spark):
     texts = {(r.page_id, r._found): r.text for r in got.collect()}
     assert texts[1, "a"] == texts[2, "b"] == texts[4, "d"] == "" and texts[3, "c"].startswith("Title")
     assert html_extraction.extract(spark.createDataFrame([], "html string")).count() == 0
+
+
+# -- language ID, written out ------------------------------------------------------------------
+
+
+def plain_buckets(text):
+    mask, factors = (1 << 32) - 1, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+    for n in (1, 2, 3):
+        for at in range(len(text) - n + 1):
+            mixed = n
+            for k in range(n):
+                mixed = (mixed ^ ord(text[at + k])) * factors[k] & mask
+            mixed ^= mixed >> 15
+            yield (mixed * factors[0] & mask) >> 16
+
+
+def test_language_id_against_plain_naive_bayes(spark):
+    rng = random.Random(10)
+    stems = {"en": "the thing with house", "de": "der nicht schön straße", "fr": "été garçon où là"}
+    rows = [(i, " ".join(rng.choice(stems[x].split()) + str(rng.randrange(9)) for _ in range(rng.randint(1, 12))), x) for i in range(90) for x in [rng.choice(list(stems))]]
+    rows += [(200, None, "en"), (201, "½ ① ² Ⅷ 12 !?", "de"), (202, "", None), (203, "Été", None), (None, "The", "en"), (204, "文" * 9_000, "fr"), (5, rows[5][1], None)]
+    counts = {x: Counter() for x in stems}
+    for i, text, lang in rows:
+        if f.crc(i) % 4 != 2 and lang and text and any(unicodedata.category(c)[0] == "L" for c in text):
+            counts[lang].update(plain_buckets(text.lower()))
+    got = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = Counter()
+    for row in language_id.identify(got).collect():
+        text = row.text or ""
+        assert row.held_out == (f.crc(row.doc_id) % 4 == 2)
+        if not any(unicodedata.category(c)[0] == "L" for c in text):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        grams = list(plain_buckets(text.lower()))
+        logs = {x: sum(math.log((c[b] + 0.5) / (c.total() + 0.5 * 65536)) for b in grams) for x, c in sorted(counts.items())}
+        best = max(logs, key=logs.get)
+        assert row.lang_pred == best and row.score == pytest.approx(1 / sum(math.exp(v - logs[best]) for v in logs.values()), abs=1e-3)
+        found[best] += 1
+    assert len(found) == 3
