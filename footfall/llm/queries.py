@@ -241,11 +241,11 @@ with recursive hurt as (
 rows_ as (
   select conv_id, turn, case when fate = 4 then 'user' else role end as role,
     case fate when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
-    unnest(range(case fate when 0 then 0 when 3 then 2 else 1 end)) as copy from hurt),
+    unnest(range(case fate when 0 then 0 when 3 then 2 else 1 end)) as copy, n from (select *, row_number() over () as n from hurt)),
 placed as (
-  select *, row_number() over w as pos, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen,
+  select *, row_number() over w as pos, row_number() over (partition by conv_id, role, text order by turn nulls first, copy, n) as seen,
     lag(role) over w as before
-  from rows_ window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
+  from rows_ window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy, n)),
 faults as (
   select *, case when not regexp_matches(text, '[^ 	-
 ]') then 'blank' when seen > 1 then 'duplicate'
