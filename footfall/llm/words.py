@@ -1,21 +1,28 @@
 """Words of Arrow text columns as 64-bit hashes, in numpy.
 
 A word is a run of bytes other than the six ASCII white-space characters, with A-Z
-lower-cased. Texts are taken in blocks of a few megabytes, so memory follows the block and
+lower-cased. Texts are taken in blocks of a megabyte, so memory follows the block and
 the longest text, not the batch.
+
+A word's hash is a polynomial modulo 2^64. Long words can be built for which all such
+polynomials agree (alternating as in the Thue-Morse word), so words of more than ``LONG``
+bytes are hashed by BLAKE2 instead.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 22
+BLOCK = 1 << 20
+LONG = 64
 
+_WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 _SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SPACE[list(_WHITE)] = True
 _VALUES = np.random.RandomState(11).randint(1, 1 << 62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUES[65:91] = _VALUES[97:123]  # A-Z as a-z
 _VALUES[_SPACE] = 0
@@ -50,9 +57,15 @@ def _hashes(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return starts, np.zeros(0, np.uint64)
     inside = np.cumsum(first, dtype=np.int32) - 1
     at = np.arange(len(data), dtype=np.int64) - starts[np.maximum(inside, 0)]
-    powers = _powers(int(np.diff(np.append(starts, len(data))).max()) + int(starts[0]) + 1)
+    spans = np.diff(np.append(starts, len(data)))
+    powers = _powers(int(spans.max()) + int(starts[0]) + 1)
     terms = _VALUES[data] * powers[np.maximum(at, 0)]
-    return starts, mixed(np.add.reduceat(terms, starts))
+    hashes = mixed(np.add.reduceat(terms, starts))
+    for k in np.flatnonzero(spans > LONG):  # the white space that follows a word is in its span
+        word = data[starts[k] : starts[k] + spans[k]].tobytes().rstrip(_WHITE)
+        if len(word) > LONG:
+            hashes[k] = int.from_bytes(hashlib.blake2b(word.lower(), digest_size=8).digest(), "little")
+    return starts, hashes
 
 
 def _long_text(data: np.ndarray) -> np.ndarray:
