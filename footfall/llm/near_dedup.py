@@ -8,7 +8,8 @@ below 2 * (1 - s**HALF)**SIDE, which is 1e-4 at 0.75 and 1e-6 at 0.85.
 
 All that meets is decided on full shingle sets:
 
-1. Documents with the same set are one class; only its first goes on.
+1. Documents with the same set are one class; only its first goes on. Classes are the nodes
+   of links; those that share a key are linked with each other.
 2. Half keys that occur once can't meet, so tables are built from the others alone.
 3. The star of a bucket is its member that meets most others over all tables: of edited
    copies the one they were made from. All members are compared with their stars, and links
@@ -48,6 +49,7 @@ BLOCK = 1 << 20
 _HASHES = 2 * SIDE * HALF
 _SEEDS = np.random.RandomState(23).randint(1, 1 << 62, (2, _HASHES)).astype(np.uint64)
 _SIGNED = "id long, n_shingles long, print1 long, print2 long, sketch binary, halves array<long>"
+_PRINTS = ["n_shingles", "print1", "print2"]
 
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -91,6 +93,11 @@ def _alike(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return equal >= limit * filled - DEVIATIONS * np.sqrt(limit * (1 - limit) * filled)
 
 
+def _print(values: np.ndarray, seed: int) -> int:
+    """One of the two hashes that, with its size, tell a set from all others."""
+    return int(mixed(values, seed).sum(dtype=np.uint64).view(np.int64))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _SIGNED.split(", ")]
 
@@ -99,7 +106,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures = _signed([sets[i] for i in full]) if full else np.zeros((0, _HASHES), np.uint32)
         halves = _half_keys(signatures).view(np.int64)
         place = {i: k for k, i in enumerate(full)}
-        total = lambda seed: pa.array([int(mixed(s, seed).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64())
+        total = lambda seed: pa.array([_print(s, seed) for s in sets], pa.int64())
         columns = [
             pa.array(ids, pa.int64()),
             pa.array([len(s) for s in sets], pa.int64()),
@@ -124,25 +131,48 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of rows (text, node, prints) of a class that is wanted.
+
+    A row without a node has a key of several wanted classes; its prints say which it is of.
+    """
     for batch in batches:
-        ids, held, sets, size = batch.column(0).to_pylist(), [], [], 0
+        nodes, wanted = batch.column(1).to_pylist(), list(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))))
+        held, prints, sets, size = [], [], [], 0
 
         def out() -> pa.RecordBatch:
             offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
             values = pa.array(np.concatenate(sets).view(np.int64), pa.int64())
-            return pa.record_batch([pa.array(held, pa.int64()), pa.ListArray.from_arrays(offsets, values)], names=["id", "shingles"])
-
-        for row, shingled in _sets(batch.column(1)):
-            held.append(ids[row])
+            columns = [pa.array(held, pa.int64()), *(pa.array([p[i] for p in prints], pa.int64()) for i in range(3))]
+            return pa.record_batch([*columns, pa.ListArray.from_arrays(offsets, values)], names=["node", *_PRINTS, "shingles"])
+
+        for row, shingled in _sets(batch.column(0)):
+            own = (len(shingled), _print(shingled, 1), _print(shingled, 2))
+            if not len(shingled) or (nodes[row] is not None and own != wanted[row]):
+                continue  # another text under the key of a wanted class
+            held.append(nodes[row])
+            prints.append(own)
             sets.append(shingled)
             size += len(shingled)
             if size > 1 << 19:
                 yield out()
-                held, sets, size = [], [], 0
+                held, prints, sets, size = [], [], [], 0
         if sets:
             yield out()
 
 
+def _wanted_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id`` (the node), ``shingles``: the set of each node in ``wanted`` (``id``, ``first``, prints)."""
+    one = [F.when(F.min("id") == F.max("id"), F.min(c)).alias(c) for c in ("id", *_PRINTS)]
+    keys = wanted.groupBy("first").agg(*one).withColumnRenamed("id", "node")
+    # What is wanted grows with the corpus: never broadcast, and the same plan at every size.
+    met = rows.join(keys.hint("merge"), F.col("id") == F.col("first")).select("text", "node", *_PRINTS)
+    sets = met.mapInArrow(_list_sets, "node long, n_shingles long, print1 long, print2 long, shingles array<long>")
+    sets = staged(sets, "listed")
+    sure = sets.where("node is not null").select(F.col("node").alias("id"), "shingles")
+    told = sets.where("node is null").join(wanted, _PRINTS).select("id", "shingles")
+    return staged(sure.unionByName(told).dropDuplicates(["id"]), "sets")
+
+
 def _stars(signed: DataFrame) -> DataFrame:
     """``id``, ``star``: the members of all buckets that have more than one, with the bucket's star, each pair once."""
     halves = signed.select("id", F.posexplode("halves").alias("half", "value"))
@@ -249,40 +279,54 @@ def _left_over(stars: DataFrame, parts: DataFrame, signed: DataFrame, sets: Data
     return dealt.groupBy("star", "x", "y").applyInArrow(_across, "a long, b long").distinct()
 
 
+def _key_links(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a > b`` between the classes of each key that has several."""
+    least = [F.min(c).alias(f"{c}_0") for c in _PRINTS]
+    most = [F.max(c).alias(f"{c}_1") for c in _PRINTS]
+    unlike = " or ".join(f"{c}_0 < {c}_1" for c in _PRINTS)
+    several = full.where("id is not null").groupBy("id").agg(*least, *most).where(unlike).select("id")
+    held = staged(full.join(several, "id").join(classes, _PRINTS).select("id", "node").distinct(), "held")
+    lowest = held.groupBy("id").agg(F.min("node").alias("b"))
+    return held.join(lowest, "id").where("node > b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: key, ``n_shingles``, ``component_id``, ``kept``.
 
     A document's set holds its distinct runs of five words, or its whole sequence if it has
     fewer; documents are linked when 100 * shared >= 75 * union, and ``component_id`` is the
     smallest key that links lead to. A text without words (or null) is linked with nothing.
-    Rows that repeat a key are one document. A null key is no node: its rows join the
+    Rows that repeat a key are one document: all of its texts are in one component, and a
+    link of one of them is one of the document. A null key is no node: its rows join the
     component of a keyed document with the same set, or stand alone with a null component,
-    and are kept only then. An empty table gives no rows; further columns are ignored.
+    and are kept only then. Ties do not arise, as a component is named by its smallest key.
+    Texts of any length are read whole. An empty table gives no rows; further columns are
+    ignored.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = staged(rows.mapInArrow(_sign, _SIGNED), "signed")
-    prints = ["n_shingles", "print1", "print2"]
-    classes = staged(signed.where("n_shingles > 0").groupBy(*prints).agg(F.min("id").alias("first")), "classes")
-    firsts = staged(
-        signed.join(classes, prints).where("id = first").dropDuplicates(["id"]).select("id", "n_shingles", "sketch", "halves"),
-        "firsts",
-    )
+    full = signed.where("n_shingles > 0")
+    classes = full.groupBy(*_PRINTS).agg(F.min("id").alias("first"))
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    first = signed.join(classes, _PRINTS).where("id = first").dropDuplicates(["node"])
+    firsts = staged(first.select(F.col("node").alias("id"), "first", *_PRINTS, "sketch", "halves"), "firsts")
     stars = _stars(firsts)
     firsts = firsts.drop("halves")
-    wanted = stars.select("id").union(stars.select(F.col("star").alias("id"))).distinct()
-    # What is wanted grows with the corpus: never broadcast, and the same plan at every size.
-    sets = rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>").dropDuplicates(["id"])
-    sets = staged(sets, "sets")
-    links = components(_star_links(stars, firsts, sets))
+    met = stars.select("id").union(stars.select(F.col("star").alias("id"))).distinct()
+    sets = _wanted_sets(rows, firsts.drop("sketch").join(met, "id", "left_semi"))
+    found = _star_links(stars, firsts, sets).unionByName(_key_links(full, classes))
+    links = components(found)
     more = _left_over(stars, links, firsts, sets)
-    links = components(links.unionByName(more)).withColumnsRenamed({"a": "node", "b": "low"})
-    # A key whose rows differ in text is one node, so all of its classes meet.
+    links = components(links.unionByName(more)).withColumnsRenamed({"a": "of", "b": "low"})
+    # A component is named by the least key of its classes.
+    linked = classes.join(links, F.col("node") == F.col("of"), "left").withColumn("low", F.coalesce("low", "node"))
+    linked = staged(linked.select(*_PRINTS, "first", "low"), "linked")
+    named = linked.groupBy("low").agg(F.min("first").alias("name"))
     # It is written, so the last join is one of two plain tables, in which Spark splits a large class.
-    known = classes.join(links, F.col("first") == F.col("node"), "left").select(*prints, F.coalesce("low", "first").alias("low"))
-    known = staged(known, "known")
+    known = staged(linked.join(named, "low").select(*_PRINTS, "name"), "known")
     alone = F.col("n_shingles") == 0
-    component = F.when(alone, F.col("id")).otherwise(F.col("low"))
-    return signed.select("id", *prints).join(known, prints, "left").select(
+    component = F.when(alone, F.col("id")).otherwise(F.col("name"))
+    return signed.select("id", *_PRINTS).join(known, _PRINTS, "left").select(
         F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
 

@@ -1,6 +1,7 @@
 """Exact, near and suffix dedup against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import fixtures as f
@@ -56,8 +57,6 @@ def test_near_copies(spark, texts, monkeypatch, block):
 
 def test_chains_and_left_over_links(spark):
     """Members that are linked with each other but not with the star of their buckets."""
-    import random
-
     rng = random.Random(5)
     base = " ".join(f"w{i}" for i in range(120))
     texts = [base]
@@ -74,6 +73,37 @@ def test_near_dedup_of_odd_keys(spark):
     assert got == Counter({(4, 4, True): 2, (None, 4, False): 1, (None, None, True): 2, (9, 9, True): 1})
 
 
+def test_near_dedup_of_keys_with_several_texts(spark):
+    """Every text of a key keeps its links, and links of any of them are links of the document."""
+    rng = random.Random(8)
+    bases = [" ".join(f"{c}{i}" for i in range(90)) for c in "abcd"]
+    rows = [(1, bases[0]), (1, bases[1]), (2, f.near(bases[1], rng, 1)), (3, f.near(bases[0], rng, 1)), (4, bases[2]), (5, bases[3])]
+    rows += [(6, bases[2]), (6, bases[3]), (6, ""), (7, f.near(bases[3], rng, 1)), (8, "alone here")]
+    docs = f.documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_copies(docs).collect())
+    low = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4, 8: 8}
+    want = Counter((i, len(f.runs(t)), low[i] if t else i, (low[i] if t else i) == i) for i, t in rows)
+    assert got == want
+
+
+def test_near_dedup_of_a_hot_key(spark):
+    """A key that many rows with different texts share joins what each of them is linked with."""
+    rng = random.Random(9)
+    bases = [" ".join(f"{k}w{i}" for i in range(40)) for k in range(30)]
+    rows = [(50, t) for t in bases] + [(k, f.near(t, rng, 1)) for k, t in enumerate(bases)]
+    got = {r.component_id for r in near_dedup.near_copies(f.documents(spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
+    assert got == {0}
+
+
+def test_long_words_are_told_apart(spark):
+    """The Thue-Morse word and its complement agree in every polynomial modulo 2^64."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 12))
+    other = word.translate(str.maketrans("ab", "ba"))
+    texts = [word, other, f" {word.upper()}\n", "a" * 64, "A" * 64, "a" * 65, "A" * 65 + " ", "a" * 66]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_copies(f.documents(spark, texts)).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 3, 4: 3, 5: 5, 6: 5, 7: 7}
+
+
 def test_half_keys_are_tensored():
     sets = [np.arange(i, i + 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in (0, 5, 10_000)]
     keys = near_dedup._half_keys(near_dedup._signed(sets))
