@@ -78,7 +78,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_mixing"] = r"""
 with sized as (
-  select doc_id, source, length(bin(size)) as importance, size from (
+  select doc_id, source, length(bin(size)) as importance, size, row_number() over (partition by doc_id, source, size) - 1 as nth from (
     select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents)),
 sources as (select source, cast(sum(size) as bigint) as source_size, count(*) as n from sized group by source),
 weighted as (
@@ -104,14 +104,13 @@ odds as (
   select source, importance, rest, case when scale * importance >= 1 then 1.0::double
     else greatest(max(case when scale * importance < 1 then scale end) over (partition by source) * importance, 0) end as odds from scaled),
 drawn as (
-  select s.*, rest, odds, (cast(('0x' || substr(md5('mix' || coalesce(cast(doc_id as varchar), '')), 1, 13)) as bigint) + 0.5::double) / pow(16, 13) as u
+  select s.*, rest, odds, (cast(('0x' || substr(md5('mix' || coalesce(cast(doc_id as varchar), '') || case when nth > 0 then ':' || size || ':' || nth else '' end), 1, 13)) as bigint) + 0.5::double) / pow(16, 13) as u
   from sized s join odds o on o.source is not distinct from s.source and o.importance = s.importance where size > 0),
 ranked as (
   select *, case when odds >= 1 then 0.0 when odds <= 0 then 1.0 else u * (1 - odds) / (u * (1 - odds) + odds * (1 - u)) end as rank,
     coalesce(doc_id, -9223372036854775808) as tie from drawn),
 taking as (
-  select doc_id, source, size, case when 2 * sum(size) over (partition by source order by rank, tie)
-    - sum(size) over (partition by source, rank, tie) <= 2 * rest then 1 else 0 end as more from ranked)
+  select doc_id, source, size, case when 2 * sum(size) over (partition by source order by rank, tie, size, nth) - size <= 2 * rest then 1 else 0 end as more from ranked)
 select t.doc_id, t.size, p.source_size, p.target, cast((p.whole + t.more) * t.size as bigint) as taken, p.whole + t.more as copies
 from taking t join parts p on p.source is not distinct from t.source
 union all

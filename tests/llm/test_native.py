@@ -210,5 +210,41 @@ def test_mix_of_repeated_and_keyless_rows(spark):
     rows = [(1, "a b c", "s"), (1, "a b c", "s"), (None, "d e", "s"), (None, "f", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = mixing.mix(docs).collect()
-    assert len(got) == 4 and len({r.copies for r in got if r.doc_id == 1}) == 1
+    assert Counter((r.doc_id, r.size) for r in got) == Counter([(1, 3), (1, 3), (None, 2), (None, 1)])
     assert mixing.mix(spark.createDataFrame([], f.EMPTY)).collect() == []
+
+
+@pytest.mark.parametrize("key", [1, 4, None])
+def test_mix_of_a_hot_key_comes_near_its_target(spark, monkeypatch, key):
+    """Rows of one key are not taken as one lump, and follow the check SQL."""
+    monkeypatch.setattr(mixing, "FOLD", 16)
+    text = "w w w w w w w w w w"
+    rows = [(key, text if i % 3 else text + " w", "a") for i in range(150)] + [(i, text, "ab"[i % 2]) for i in range(100, 220)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    target = {r.source_size: r.target for r in got}
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.source_size] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 6 for s in target)
+    assert 1 < len({r.copies for r in got if r.doc_id == key}) + len({r.copies for r in got if r.doc_id != key})
+    con = duckdb.connect()
+    con.register("documents", pa.table({n: [r[i] for r in rows] for i, n in enumerate(docs.columns)}))
+    assert checks.differences(mixing.mix(docs), con, queries.ORACLES["op10_mixing"]) is None
+
+
+def test_rows_that_the_mix_takes(spark):
+    """Each row is taken once, with the copies of the mix, whatever keys repeat and columns clash."""
+    rng = random.Random(3)
+    ids = [rng.choice([None, 7, 7, 8, k]) for k in range(300)]
+    texts = [" w" * rng.randint(0, 4) + f" t{k % 50}" * (k % 9 > 0) for k in range(300)]
+    docs = f.documents(spark, texts, ids)
+    took = mixing.take(docs)
+    plan = mixing.mix(docs).where("copies > 0").collect()
+    got = took.collect()
+    assert took.columns == [*[c for c in docs.columns if c != "size"], *mixing.OUTPUT]
+    count = lambda rows: Counter((r.doc_id, r["size"], r.source_size, r.target, r.taken, r.copies) for r in rows)
+    assert count(got) == count(plan)
+    assert not Counter((r.doc_id, r.text) for r in got) - Counter(zip(ids, texts))
+    assert mixing.take(spark.createDataFrame([], f.EMPTY)).collect() == []
+
