@@ -174,3 +174,46 @@ def test_retention_mask_holds_many_days(spark):
     assert masks["20240101"] == 1 | 1 << 50
     with pytest.raises(ValueError):
         retention.return_days(base, 63)
+
+
+class _Kept:
+    """State of one group, as a processor sees it."""
+
+    value, calls = None, 0
+
+    def getValueState(self, *_, **__):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.calls = value, self.calls + 1
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_sessions_of_a_bucket_are_taken_in_at_once():
+    """One call and one write for all of them; a session without records for the hours begins anew."""
+    import pandas as pd
+
+    kept, keys = _Kept(), ["ak", "att"]
+    processor = sessions.SessionChanges(keys, 1)
+    processor.init(kept)
+
+    def take(now, *values):
+        kept.now = now
+        columns = [*keys, "pv", "first_ms", "stay", "is_new", "first_page", "low_page", "high_page"]
+        rows = pd.DataFrame([("a", att, 1, 5, stay, 0, p, p, p) for att, stay, p in values], columns=columns)
+        (out,) = processor.handleInputRows(("d", 0), iter([rows]), kept)
+        return {r.att: (r.open_count, r.one_page_count, r.total_stay_time, r.pv) for r in out.itertuples()}
+
+    many = [(f"s{i}", i, "p") for i in range(500)]
+    assert take(0, *many) == {f"s{i}": (1, 1, i, 1) for i in range(500)} and kept.calls == 1
+    assert take(1_000, ("s1", 3, "q"), ("s1", None, "p"), ("new", None, "p")) == {"s1": (0, -1, 2, 2), "new": (1, 1, 0, 1)}
+    assert take(3_600_500, ("s1", 9, "p"), ("s2", 9, "p")) == {"s1": (0, 0, 6, 1), "s2": (1, 1, 9, 1)}
+    assert kept.calls == 3
