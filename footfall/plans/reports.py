@@ -45,6 +45,11 @@ def _prepare(log: DataFrame, spec: ReportSpec, lookups: Lookups) -> DataFrame:
 _CORE = ("ak", "day", "att", "pp", "uu", "op", "ev", "dr", "ifo", "img", "et", "event_id")
 
 
+def columns_of(spec: ReportSpec) -> list[str]:
+    """What a report reads of the log."""
+    return list(dict.fromkeys((*_CORE, "v", *filters.REQUIRED[spec.family], *spec.dims)))
+
+
 def report_rows(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups(), auth_state: DataFrame | None = None,
                 strict: bool = False) -> DataFrame:
     """The filtered and enriched rows a report counts."""
@@ -61,7 +66,7 @@ def report_partials(spec: ReportSpec, log: DataFrame, lookups: Lookups = Lookups
 
 def finish(spec: ReportSpec, partials: DataFrame, marks: DataFrame | None) -> DataFrame:
     """Result columns of a report from its merged partials."""
-    result = add_ratios(totals_of(partials, marks, spec.auth), spec.ratios)
+    result = add_ratios(totals_of(partials, spec.levels, marks, spec.auth), spec.ratios)
     shown = [*spec.metrics, *(["new_auth_count"] if spec.auth else []), *spec.ratios]
     level = ["level"] if len(spec.levels) > 1 else []
     return result.select(*BASE, *level, *spec.dims, *shown)
@@ -143,14 +148,14 @@ def with_profiles(totals: DataFrame, profiles: DataFrame, keys: list[str]) -> Da
 # -- advertising ------------------------------------------------------------------
 
 
-_AD_COLUMNS = (*_CORE, "hour", "scene", "link_key", "media_id")
+AD_COLUMNS = (*_CORE, "hour", "scene", "link_key", "media_id")
 AD_METRICS = ["new_auth_count", "visitor_count", "open_count", "new_comer_count", "total_stay_time", "one_page_count"]
 
 
 def _ad_rows(log: DataFrame, new_state: DataFrame | None, strict: bool = False) -> DataFrame:
     """Records with an open id; only the first record of a new user says so."""
     known = log.filter(filters.has_openid() & text.present(F.col("ak")) & F.col("et").isNotNull())
-    known = first_seen.slim(known, _AD_COLUMNS)
+    known = first_seen.slim(known, AD_COLUMNS)
     return first_seen.with_new_users(known, first_seen.first_seen(known, new_state, first_seen.NEW_USER, strict=strict))
 
 
@@ -165,9 +170,9 @@ def _ad_partials(rows: DataFrame, levels, auth_state: DataFrame | None, strict:
     return traffic_partials(marked, levels, "op", auth=True)
 
 
-def _ad_totals(partials: DataFrame) -> DataFrame:
+def _ad_totals(partials: DataFrame, levels) -> DataFrame:
     """New users never exceed visitors."""
-    totals = totals_of(partials, auth=True)
+    totals = totals_of(partials, levels, auth=True)
     return totals.withColumn("new_comer_count", F.least("new_comer_count", "visitor_count"))
 
 
@@ -179,7 +184,7 @@ def ad_link_partials(log: DataFrame, links: DataFrame, levels=rollup.LINK_LEVELS
 def finish_ads(partials: DataFrame, levels=rollup.LINK_LEVELS) -> DataFrame:
     """Result columns of the advertising reports from their merged partials."""
     dims = list(dict.fromkeys(d for level in levels for d in level))
-    totals = add_ratios(_ad_totals(partials), VISIT_RATIOS)
+    totals = add_ratios(_ad_totals(partials, levels), VISIT_RATIOS)
     return totals.select(*BASE, *(["level"] if len(levels) > 1 else []), *dims, *AD_METRICS, *VISIT_RATIOS)
 
 
@@ -192,8 +197,8 @@ def ad_reports(log: DataFrame, links: DataFrame, levels=rollup.LINK_LEVELS, new_
 def app_totals(log: DataFrame, by_hour: bool = False, new_state: DataFrame | None = None,
                auth_state: DataFrame | None = None) -> DataFrame:
     """Visitors, new users and authorisations of the whole app, with or without a link."""
-    rows = _ad_rows(log, new_state)
-    return _app_columns(_ad_totals(_ad_partials(rows, (("hour",) if by_hour else (),), auth_state)), by_hour)
+    rows, levels = _ad_rows(log, new_state), (("hour",) if by_hour else (),)
+    return _app_columns(_ad_totals(_ad_partials(rows, levels, auth_state), levels), by_hour)
 
 
 def _app_columns(totals: DataFrame, by_hour: bool) -> DataFrame:
@@ -225,7 +230,7 @@ def home_partials(log: DataFrame, links: DataFrame, by_hour: bool = False, new_s
 def finish_home(partials: DataFrame, by_hour: bool = False) -> DataFrame:
     level = ("hour",) if by_hour else ()
     side = lambda name: partials.filter(F.col("side") == name).drop("side")
-    return finish_ads(side("link"), (level,)).join(_app_columns(_ad_totals(side("app")), by_hour), [*BASE, *level])
+    return finish_ads(side("link"), (level,)).join(_app_columns(_ad_totals(side("app"), (level,)), by_hour), [*BASE, *level])
 
 
 # -- devices, pages, versions -----------------------------------------------------
