@@ -17,7 +17,7 @@ days again, whether or not they were counted before, and ``swap`` puts its rows
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,13 +71,14 @@ class Side:
 @dataclass(frozen=True)
 class Streamed:
     """How a report is made of parts: partials of a batch (against first-seen state, if it has one), their merge,
-    result rows from merged ones and sides."""
+    result rows from merged ones and sides. ``columns`` are those it reads of the log, None for all."""
 
     name: str
     partials: Callable[[DataFrame, DataFrame | None], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
     finish: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]
     sides: dict[str, Side] = field(default_factory=dict)
+    columns: list[str] | None = None
 
 
 _distinct = lambda rows: rows.distinct()
@@ -121,6 +122,7 @@ STREAMED: dict[str, Streamed] = {
             lambda log, _: report_partials(TERMINAL, reports.terminal_rows(log)),
             merge_partials,
             lambda partials, _: reports.stack_terminal(finish(TERMINAL, partials, None)),
+            columns=reports.columns_of(TERMINAL),
         ),
         Streamed("sdk_versions", lambda log, _: reports.sdk_versions(log), _distinct, lambda rows, _: rows),
     )
@@ -273,21 +275,21 @@ def stream(log: DataFrame, report: str | Streamed, root: str, job_day: Column |
     """A report of ``STREAMED``, or one made of parts, as a stream."""
     report = STREAMED[report] if isinstance(report, str) else report
     tables = ReportTables(root, report.name, run, replaces)
-    return each_batch(log, job_day, tables, lambda batch, batch_id: enter(report, batch, batch_id, tables))
+    return each_batch(log, job_day, tables, lambda batch, batch_id: enter(report, batch, batch_id, tables), report.columns)
 
 
 def stream_report(log: DataFrame, spec: ReportSpec, root: str, lookups: Lookups = Lookups(), job_day: Column | None = None,
                   run: str = LIVE, replaces: list[str] | None = None) -> DataStreamWriter:
     """A writer that keeps the report's totals; start it with ``ingest.run_available`` or ``start_every``."""
     tables = ReportTables(root, spec.name, run, replaces)
-    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups))
+    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh(spec, batch, batch_id, tables, lookups), reports.columns_of(spec))
 
 
 def stream_ads(log: DataFrame, root: str, links: DataFrame, levels: Levels = LINK_LEVELS, job_day: Column | None = None,
                run: str = LIVE, replaces: list[str] | None = None) -> DataStreamWriter:
     """The advertising reports as a stream."""
     tables = ReportTables(root, ADS, run, replaces)
-    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels))
+    return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_ads(batch, batch_id, tables, links, levels), reports.AD_COLUMNS)
 
 
 def stream_home(log: DataFrame, root: str, links: DataFrame, by_hour: bool = False, job_day: Column | None = None,
@@ -304,10 +306,15 @@ def stream_activity(log: DataFrame, root: str, links: DataFrame, media: DataFram
     return each_batch(log, job_day, tables, lambda batch, batch_id: refresh_activity(batch, batch_id, tables, links, media))
 
 
-def each_batch(log: DataFrame, job_day: Column | None, tables: ReportTables, take: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+def each_batch(log: DataFrame, job_day: Column | None, tables: ReportTables, take: Callable[[DataFrame, int], None],
+               columns: Sequence[str] | None = None) -> DataStreamWriter:
+    """A batch is kept while it is taken in, of its ``columns`` only those named."""
+
     def each(batch: DataFrame, batch_id: int) -> None:
         if tables.replaces:
             batch = batch.filter(F.col("day").isin(*tables.replaces))
+        if columns is not None:
+            batch = first_seen.slim(batch, columns)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             take(batch, batch_id)

@@ -20,8 +20,8 @@ from footfall.workload.oracle import traffic
 from footfall.workload.registry import ORACLES, over_log, query
 from footfall.workload.storing import place
 
-#: Files of one micro-batch; they are read side by side.
-FILES = 8
+#: Files of one micro-batch; they are written and read side by side.
+FILES = 24
 #: Cuts between the batches of an ordered stream, one of them inside a day.
 CUTS = ("timestamp '2024-01-10 12:00:00'", "timestamp '2024-01-21 00:00:00'")
 DAY_MS = 86_400_000
@@ -48,9 +48,10 @@ def log_stream(spark: SparkSession, sf_dir: str, root: str, ordered: bool = Fals
 
 
 def staged_stream(spark: SparkSession, parts: list[DataFrame], path: str) -> DataFrame:
-    """Tables as the micro-batches of a file stream, in this order."""
+    """Tables as the micro-batches of a file stream, in this order. Rows are dealt by their id, as Spark sorts
+    wide rows whole to deal them in turn."""
     for part in parts:
-        part.repartition(FILES).write.mode("append").parquet(path)
+        part.repartition(FILES, "event_id").write.mode("append").parquet(path)
     return ingest.file_stream(spark, path, parts[0].schema, FILES)
 
 
@@ -198,7 +199,7 @@ def _replaced(spark, sf):
     ingest.run_available(start(staged_stream(spark, parts[:2], f"{root}/live"), live), live.checkpoint)
     ingest.run_available(start(staged_stream(spark, [replayed.filter("hour < '12'"), replayed.filter("hour >= '12'")], f"{root}/again"), again), again.checkpoint)
     reports.swap(report, spark, again)
-    parts[2].repartition(FILES).write.mode("append").parquet(f"{root}/live")
+    parts[2].repartition(FILES, "event_id").write.mode("append").parquet(f"{root}/live")
     ingest.run_available(start(ingest.file_stream(spark, f"{root}/live", log.schema, FILES), live), live.checkpoint)
     return _totals(spark, live)
 

@@ -77,3 +77,14 @@ def test_levels_repeat_nothing_that_moves(spark):
     rows = totals_of(partials, levels).collect()
     assert len(rows) == 3 * 4 * 6 * 8 and {r.level for r in rows} >= {"app", "d2+d3+d5+d7"}
     assert sum(r.open_count for r in rows) == sum(r.visitor_count for r in rows) == 16 * 2000
+
+
+def test_stream_keeps_only_the_columns_of_its_report(spark, tmp_path):
+    from footfall.streaming import ingest, reports
+
+    spark.range(5).selectExpr("id as event_id", "'app1' as ak", "'x' as wide").write.parquet(str(tmp_path / "in"))
+    source = ingest.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    seen = []
+    writer = reports.each_batch(source, None, reports.ReportTables(str(tmp_path), "r"), lambda b, _: seen.append((b.columns, b.count())), ["ak", "event_id", "other"])
+    ingest.run_available(writer, str(tmp_path / "checkpoint"))
+    assert {tuple(c) for c, _ in seen} == {("ak", "event_id")} and sum(n for _, n in seen) == 5
